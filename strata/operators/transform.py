@@ -164,6 +164,32 @@ def normalize_lines(raw_lines: DataFrame, headers: DataFrame, tax: DataFrame) ->
     return attach_tax_rate(lines, tax).select(*LINE_COLS)
 
 
+def nest_lines(raw_headers: DataFrame, raw_lines: DataFrame, max_lines_per_record: int = 1000) -> DataFrame:
+    """Attach raw lines to their header as ``_lines`` (left outer: a header
+    without lines keeps ``[]``; lines with a falsy parent are dropped).
+
+    No collected array is unbounded: a header with more than
+    ``max_lines_per_record`` lines becomes several nested records, each with
+    the header fields and a slice of its lines (slice = hash of the line id
+    modulo the number of slices the header needs).  The per-header counts
+    are a partial (map-side) aggregate; a hot header is spread over slices
+    instead of being collected in one task."""
+    parent = line_parent_id(raw_lines)
+    lines = raw_lines.filter(F.coalesce(parent != 0, F.lit(False))).withColumn("_parent", parent)
+    counts = lines.groupBy("_parent").agg(F.count(F.lit(1)).alias("_n"))
+    slices = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_lines_per_record)))
+    line_struct = F.struct(*[F.col(c) for c in raw_lines.columns])
+    grouped = (
+        lines.join(counts, "_parent")
+        .withColumn("_slice", F.pmod(F.xxhash64("id"), slices.cast("long")))
+        .groupBy("_parent", "_slice")
+        .agg(F.collect_list(line_struct).alias("_lines"))
+    )
+    empty = F.array().cast(T.ArrayType(raw_lines.select(line_struct.alias("s")).schema["s"].dataType))
+    nested = raw_headers.join(grouped, raw_headers["id"] == grouped["_parent"], "left")
+    return nested.withColumn("_lines", F.coalesce(F.col("_lines"), empty)).drop("_parent", "_slice")
+
+
 def explode_nested_lines(raw_nested: DataFrame) -> DataFrame:
     """Nested aggregate (header with ``_lines``) -> raw line rows.
 

@@ -136,3 +136,65 @@ def ingest_stamp(df: DataFrame) -> DataFrame:
     )
     return df.withColumn("synced_at", synced.cast("timestamp_ntz")).withColumn(
         "sync_batch_id", F.concat(F.lit("sync-"), F.date_format(synced, "yyyyMMddHH")))
+
+
+# Fixed fixture parameters of the derived sync history.
+MAX_REJECT_RATIO = 0.07   # a run whose rejected share exceeds this fails
+FAILED_MESSAGE = "reject ratio above limit"
+
+
+def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run events of a history of syncs derived from the data.
+
+    Module ``account``: one run per calendar month of header cursors (headers
+    without a cursor are not in any run); rejects are headers without id or
+    date.  Module ``events``: one run per day of ``events.ts``; every event is
+    valid.  Each run has a start, a checkpoint (counters, max cursor) and a
+    finish event 1 and 2 minutes apart, starting one hour after its period;
+    the newest run of each module is still running (no finish).  A run whose
+    reject share exceeds MAX_REJECT_RATIO fails."""
+    from strata.operators.transform import validity  # local: avoid a cycle
+
+    h = raw_headers(spark, sf_dir, 1)
+    ok, _ = validity(h)
+    cur = F.try_to_timestamp(F.substring("write_date", 1, 19), F.lit("yyyy-M-d H:m:s")).cast("timestamp_ntz")
+    acc = (h.select(F.lit("account").alias("module_name"), cur.alias("cursor"), ok.alias("ok"))
+           .filter(F.col("cursor").isNotNull())
+           .withColumn("period", F.date_trunc("month", "cursor").cast("timestamp_ntz"))
+           .withColumn("period_end", F.col("period") + F.expr("INTERVAL 1 MONTH")))
+    ev = (table(spark, sf_dir, "events")
+          .select(F.lit("events").alias("module_name"), F.col("ts").alias("cursor"), F.lit(True).alias("ok"))
+          .withColumn("period", F.date_trunc("day", "cursor").cast("timestamp_ntz"))
+          .withColumn("period_end", F.col("period") + F.expr("INTERVAL 1 DAY")))
+    runs = acc.unionByName(ev).groupBy("module_name", "period", "period_end").agg(
+        F.count(F.lit(1)).cast("long").alias("records_processed"),
+        F.count_if("ok").cast("long").alias("records_inserted"),
+        F.max("cursor").alias("max_cursor"),
+    )
+    newest = runs.groupBy("module_name").agg(F.max("period").alias("_newest"))
+    runs = (runs.join(F.broadcast(newest), "module_name")  # one row per module
+            .withColumn("records_failed", F.col("records_processed") - F.col("records_inserted"))
+            .withColumn("sync_id", F.concat_ws("-", "module_name", F.date_format("period", "yyyyMMdd")))
+            .withColumn("started_at", (F.col("period_end") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz"))
+            .withColumn("failed", F.col("records_failed") > F.col("records_processed") * F.lit(MAX_REJECT_RATIO)))
+    null_s, null_l, null_t = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("timestamp_ntz")
+    start = runs.select("sync_id", F.lit(0).cast("long").alias("seq"), F.lit("start").alias("kind"),
+                        "module_name", F.lit("incremental").alias("sync_type"),
+                        F.col("started_at").alias("event_at"), F.lit("running").alias("status"),
+                        null_t.alias("last_processed_ts"), null_l.alias("records_processed"),
+                        null_l.alias("records_inserted"), null_l.alias("records_failed"),
+                        null_s.alias("error_message"))
+    chk = runs.select("sync_id", F.lit(1).cast("long").alias("seq"), F.lit("checkpoint").alias("kind"),
+                      "module_name", null_s.alias("sync_type"),
+                      (F.col("started_at") + F.expr("INTERVAL 1 MINUTE")).alias("event_at"),
+                      F.lit("running").alias("status"), F.col("max_cursor").alias("last_processed_ts"),
+                      "records_processed", "records_inserted", "records_failed", null_s.alias("error_message"))
+    fin = runs.filter(F.col("period") < F.col("_newest")).select(
+        "sync_id", F.lit(2).cast("long").alias("seq"), F.lit("finish").alias("kind"),
+        "module_name", null_s.alias("sync_type"),
+        (F.col("started_at") + F.expr("INTERVAL 2 MINUTES")).alias("event_at"),
+        F.when(F.col("failed"), F.lit("failed")).otherwise(F.lit("success")).alias("status"),
+        F.col("max_cursor").alias("last_processed_ts"), null_l.alias("records_processed"),
+        null_l.alias("records_inserted"), null_l.alias("records_failed"),
+        F.when(F.col("failed"), F.lit(FAILED_MESSAGE)).alias("error_message"))
+    return start.unionByName(chk).unionByName(fin)
