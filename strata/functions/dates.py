@@ -18,10 +18,28 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _canonical(s: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` exactly (the source's own layout)."""
+    return ((F.length(s) == 19) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
+            & (F.substring(s, 11, 1) == " ") & (F.substring(s, 14, 1) == ":") & (F.substring(s, 17, 1) == ":"))
+
+
 def parse_naive_utc(col: Column | str) -> Column:
-    """Naive UTC text -> TIMESTAMP_NTZ; NULL, '' and malformed text -> NULL."""
+    """Naive UTC text -> TIMESTAMP_NTZ; NULL, '' and malformed text -> NULL.
+
+    Canonical text takes Spark's native string cast (fast path); any other
+    shape goes through the lenient pattern parser."""
     s = F.substring(_c(col), 1, 19)
-    return F.try_to_timestamp(s, F.lit(NAIVE_UTC_PATTERN)).cast("timestamp_ntz")
+    fast = F.when(_canonical(s), s.try_cast("timestamp_ntz"))
+    slow = F.try_to_timestamp(s, F.lit(NAIVE_UTC_PATTERN)).cast("timestamp_ntz")
+    return F.coalesce(fast, slow)
+
+
+def parse_date(col: Column | str) -> Column:
+    """``yyyy-MM-dd`` text -> DATE (fast native cast for the canonical form)."""
+    s = _c(col).cast("string")
+    canonical = (F.length(s) == 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
+    return F.coalesce(F.when(canonical, s.try_cast("date")), F.try_to_date(s, "yyyy-MM-dd"))
 
 
 def floor_to_second(col: Column | str) -> Column:

@@ -22,7 +22,7 @@ from strata.functions.columns import (
     to_double,
     truthy,
 )
-from strata.functions.dates import parse_naive_utc
+from strata.functions.dates import parse_date, parse_naive_utc
 from strata.operators.joins import dimension_join
 
 # Fixed value: the currency label used when a record carries none.
@@ -74,7 +74,7 @@ def flatten_headers(raw: DataFrame, default_currency: str = DEFAULT_CURRENCY) ->
         F.col("id").cast("long").alias("id"),
         text_default(_col_or_null(raw, "name", s)).alias("name"),
         text_default(_col_or_null(raw, "move_type", s)).alias("move_type"),
-        F.try_to_date(F.col("date").cast("string"), "yyyy-MM-dd").alias("date"),
+        parse_date(F.col("date")).alias("date"),
         m2o_id(partner).alias("partner_id"),
         m2o_name(partner).alias("partner_name"),
         m2o_id(company).alias("company_id"),
@@ -134,11 +134,14 @@ def flatten_lines(raw_lines: DataFrame) -> DataFrame:
     )
 
 
-def attach_tax_rate(lines: DataFrame, tax: DataFrame) -> DataFrame:
-    """Rate of the first tax id; unknown id or empty list -> 0.0."""
+def attach_tax_rate(lines: DataFrame, tax: DataFrame, tax_bounded: bool | None = None) -> DataFrame:
+    """Rate of the first tax id; unknown id or empty list -> 0.0.
+
+    The registry is broadcast when its size is proven small (``tax_bounded``
+    from the caller, else a bounded row count); otherwise a shuffle join."""
     t = tax.select(F.col("id").alias("_tax_id"), F.col("amount").alias("_tax_amount"))
     keyed = lines.withColumn("_first_tax", first_tax_id("tax_ids"))
-    joined = dimension_join(keyed, t, keyed["_first_tax"] == t["_tax_id"], "left")
+    joined = dimension_join(keyed, t, keyed["_first_tax"] == t["_tax_id"], "left", checked=tax_bounded)
     return (
         joined.withColumn("tax_rate", F.coalesce(F.col("_tax_amount"), F.lit(0.0)))
         .drop("_first_tax", "_tax_id", "_tax_amount")
@@ -158,10 +161,11 @@ def inherit_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
-def normalize_lines(raw_lines: DataFrame, headers: DataFrame, tax: DataFrame) -> DataFrame:
+def normalize_lines(raw_lines: DataFrame, headers: DataFrame, tax: DataFrame,
+                    tax_bounded: bool | None = None) -> DataFrame:
     """Raw lines -> domain lines for the given (valid, normalised) headers."""
     lines = inherit_header(flatten_lines(raw_lines), headers)
-    return attach_tax_rate(lines, tax).select(*LINE_COLS)
+    return attach_tax_rate(lines, tax, tax_bounded).select(*LINE_COLS)
 
 
 def nest_lines(raw_headers: DataFrame, raw_lines: DataFrame, max_lines_per_record: int = 1000) -> DataFrame:
@@ -203,14 +207,15 @@ def explode_nested_lines(raw_nested: DataFrame) -> DataFrame:
 
 
 def transform(raw_headers: DataFrame, tax: DataFrame, raw_lines: DataFrame | None = None,
-              default_currency: str = DEFAULT_CURRENCY) -> tuple[DataFrame, DataFrame, DataFrame]:
+              default_currency: str = DEFAULT_CURRENCY,
+              tax_bounded: bool | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """-> (headers, lines, rejects).  Lines come from ``raw_lines`` or, when
     None, from the ``_lines`` array nested in each header."""
     if raw_lines is None:
         raw_lines = explode_nested_lines(raw_headers)
         raw_headers = raw_headers.drop("_lines")
     headers = normalize_headers(raw_headers, default_currency).select(*HEADER_COLS)
-    lines = normalize_lines(raw_lines, headers, tax)
+    lines = normalize_lines(raw_lines, headers, tax, tax_bounded)
     return headers, lines, rejected_records(raw_headers)
 
 

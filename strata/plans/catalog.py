@@ -74,7 +74,7 @@ def parents(raw_lines: DataFrame) -> DataFrame:
 def domain(spark: SparkSession, sf_dir: str, version: int = 1):
     """(headers, lines, rejects) of a source snapshot."""
     return tr.transform(fx.raw_headers(spark, sf_dir, version), tax_dim(spark, sf_dir),
-                        fx.raw_lines(spark, sf_dir))
+                        fx.raw_lines(spark, sf_dir), tax_bounded=True)
 
 
 def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,10 +91,10 @@ def two_runs_bronze_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     v1 = fx.raw_headers(spark, sf_dir, 1)
     ids1 = ex.fetch_new_ids(v1, None, par)
     wm1 = ids1.agg(F.max("write_date")).first()[0]
-    h1, _, _ = tr.transform(read_by_ids(v1, ids1), tax, rl_)
+    h1, _, _ = tr.transform(read_by_ids(v1, ids1), tax, rl_, tax_bounded=True)
     v2 = fx.raw_headers(spark, sf_dir, 2)
     ids2 = ex.fetch_new_ids(v2, wm1, par)
-    h2, _, _ = tr.transform(read_by_ids(v2, ids2), tax, rl_)
+    h2, _, _ = tr.transform(read_by_ids(v2, ids2), tax, rl_, tax_bounded=True)
     return tr.stamp(h1, RUN1_AT, "run-1").unionByName(tr.stamp(h2, RUN2_AT, "run-2"))
 
 
@@ -164,7 +164,7 @@ def q_line_tax_amount(spark, sf_dir):
 
 
 def q_line_tax_rate(spark, sf_dir):
-    lines = tr.attach_tax_rate(tr.flatten_lines(fx.raw_lines(spark, sf_dir)), tax_dim(spark, sf_dir))
+    lines = tr.attach_tax_rate(tr.flatten_lines(fx.raw_lines(spark, sf_dir)), tax_dim(spark, sf_dir), True)
     return present(lines.select("id", "tax_ids", "tax_rate", "write_date"))
 
 
@@ -175,7 +175,7 @@ def q_stamp_metadata(spark, sf_dir):
 
 def q_split_aggregate(spark, sf_dir):
     nested = tr.nest_lines(fx.raw_headers(spark, sf_dir), fx.raw_lines(spark, sf_dir))
-    _, lines, _ = tr.transform(nested, tax_dim(spark, sf_dir))
+    _, lines, _ = tr.transform(nested, tax_dim(spark, sf_dir), tax_bounded=True)
     return lines.select("id", "account_move_id", "date", "quantity", "price_total", "tax_rate", "tax_amount",
                         "write_date")
 

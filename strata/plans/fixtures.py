@@ -36,6 +36,16 @@ INGEST_LAG_HOURS = 1                   # a version is ingested one hour after it
 INITIAL_LOAD_AT = "2001-09-01 00:00:00"  # ingestion time of rows without a cursor
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned scan (e.g. one file with one row group)
+    over the cluster before the per-row work.  A large input already has
+    more splits than cores and is left as it is (no extra shuffle)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(sf_path(sf_dir, name))
 
@@ -119,7 +129,10 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tax_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tax registry ``(id, amount)``: percent rates of the known tax ids."""
+    """Tax registry ``(id, amount)``: percent rates of the known tax ids.
+
+    At most TAX_REGISTRY_MAX_ID rows by construction (integral ids in
+    1..TAX_REGISTRY_MAX_ID), so callers may broadcast it unchecked."""
     li = table(spark, sf_dir, "lineitem").select("l_tax").filter(F.col("l_tax") > 0)
     ids = li.select(F.round(F.col("l_tax") * 100).cast("long").alias("id")).distinct()
     return ids.filter(F.col("id") <= TAX_REGISTRY_MAX_ID).select(
@@ -153,11 +166,12 @@ def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     finish event 1 and 2 minutes apart, starting one hour after its period;
     the newest run of each module is still running (no finish).  A run whose
     reject share exceeds MAX_REJECT_RATIO fails."""
+    from strata.functions.dates import parse_naive_utc
     from strata.operators.transform import validity  # local: avoid a cycle
 
     h = raw_headers(spark, sf_dir, 1)
     ok, _ = validity(h)
-    cur = F.try_to_timestamp(F.substring("write_date", 1, 19), F.lit("yyyy-M-d H:m:s")).cast("timestamp_ntz")
+    cur = parse_naive_utc("write_date")
     acc = (h.select(F.lit("account").alias("module_name"), cur.alias("cursor"), ok.alias("ok"))
            .filter(F.col("cursor").isNotNull())
            .withColumn("period", F.date_trunc("month", "cursor").cast("timestamp_ntz"))
