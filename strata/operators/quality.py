@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,11 +20,11 @@ def dq_unique(df: DataFrame, key: Sequence[str] | str, table: str) -> DataFrame:
 
 
 def dq_not_null(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
-    """One row per column: its NULL count (all columns in a single pass)."""
+    """One row per column: its NULL count (all columns in a single pass,
+    then the one-row result is unpivoted)."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in columns])
-    stacked = [counts.select(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                             F.col(c).alias("null_count")) for c in columns]
-    return reduce(DataFrame.unionByName, stacked)
+    long = counts.unpivot([], list(columns), "column_name", "null_count")
+    return long.select(F.lit(table).alias("table_name"), "column_name", "null_count")
 
 
 def dq_orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str = "id") -> DataFrame:

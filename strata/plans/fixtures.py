@@ -192,23 +192,27 @@ def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("started_at", (F.col("period_end") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz"))
             .withColumn("failed", F.col("records_failed") > F.col("records_processed") * F.lit(MAX_REJECT_RATIO)))
     null_s, null_l, null_t = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("timestamp_ntz")
-    start = runs.select("sync_id", F.lit(0).cast("long").alias("seq"), F.lit("start").alias("kind"),
-                        "module_name", F.lit("incremental").alias("sync_type"),
-                        F.col("started_at").alias("event_at"), F.lit("running").alias("status"),
-                        null_t.alias("last_processed_ts"), null_l.alias("records_processed"),
-                        null_l.alias("records_inserted"), null_l.alias("records_failed"),
-                        null_s.alias("error_message"))
-    chk = runs.select("sync_id", F.lit(1).cast("long").alias("seq"), F.lit("checkpoint").alias("kind"),
-                      "module_name", null_s.alias("sync_type"),
-                      (F.col("started_at") + F.expr("INTERVAL 1 MINUTE")).alias("event_at"),
-                      F.lit("running").alias("status"), F.col("max_cursor").alias("last_processed_ts"),
-                      "records_processed", "records_inserted", "records_failed", null_s.alias("error_message"))
-    fin = runs.filter(F.col("period") < F.col("_newest")).select(
-        "sync_id", F.lit(2).cast("long").alias("seq"), F.lit("finish").alias("kind"),
-        "module_name", null_s.alias("sync_type"),
-        (F.col("started_at") + F.expr("INTERVAL 2 MINUTES")).alias("event_at"),
-        F.when(F.col("failed"), F.lit("failed")).otherwise(F.lit("success")).alias("status"),
-        F.col("max_cursor").alias("last_processed_ts"), null_l.alias("records_processed"),
-        null_l.alias("records_inserted"), null_l.alias("records_failed"),
-        F.when(F.col("failed"), F.lit(FAILED_MESSAGE)).alias("error_message"))
-    return start.unionByName(chk).unionByName(fin)
+
+    def event(seq, kind, sync_type, minutes, status, cursor, counters, error):
+        return F.struct(
+            F.lit(seq).cast("long").alias("seq"), F.lit(kind).alias("kind"), sync_type.alias("sync_type"),
+            (F.col("started_at") + F.expr(f"INTERVAL {minutes} MINUTES")).cast("timestamp_ntz").alias("event_at"),
+            status.alias("status"), cursor.alias("last_processed_ts"),
+            *[(F.col(c) if counters else null_l).alias(c)
+              for c in ("records_processed", "records_inserted", "records_failed")],
+            error.alias("error_message"))
+
+    finished = F.col("period") < F.col("_newest")
+    evs = F.array(
+        event(0, "start", F.lit("incremental"), 0, F.lit("running"), null_t, False, null_s),
+        event(1, "checkpoint", null_s, 1, F.lit("running"), F.col("max_cursor"), True, null_s),
+        event(2, "finish", null_s, 2, F.when(F.col("failed"), F.lit("failed")).otherwise(F.lit("success")),
+              F.col("max_cursor"), False, F.when(F.col("failed"), F.lit(FAILED_MESSAGE))),
+    )
+    # one pass over the runs: every run emits its events; the newest run of a
+    # module has no finish yet
+    out = runs.select("sync_id", "module_name", finished.alias("_finished"), F.explode(evs).alias("e"))
+    out = out.filter((F.col("e.kind") != "finish") | F.col("_finished"))
+    return out.select("sync_id", "e.seq", "e.kind", "module_name", "e.sync_type", "e.event_at", "e.status",
+                      "e.last_processed_ts", "e.records_processed", "e.records_inserted", "e.records_failed",
+                      "e.error_message")
