@@ -26,7 +26,8 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return path
+    p, fs = _fs(df.sparkSession, path)
+    return fs.makeQualified(p).toString()
 
 
 def versions(spark: SparkSession, base: str) -> list[str]:
