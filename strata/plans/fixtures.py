@@ -200,7 +200,7 @@ def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
             status.alias("status"), cursor.alias("last_processed_ts"),
             *[(F.col(c) if counters else null_l).alias(c)
               for c in ("records_processed", "records_inserted", "records_failed")],
-            error.alias("error_message"))
+            error.alias("error_message"), null_s.alias("last_processed_cursor"))
 
     finished = F.col("period") < F.col("_newest")
     evs = F.array(
@@ -215,4 +215,4 @@ def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = out.filter((F.col("e.kind") != "finish") | F.col("_finished"))
     return out.select("sync_id", "e.seq", "e.kind", "module_name", "e.sync_type", "e.event_at", "e.status",
                       "e.last_processed_ts", "e.records_processed", "e.records_inserted", "e.records_failed",
-                      "e.error_message")
+                      "e.error_message", "e.last_processed_cursor")

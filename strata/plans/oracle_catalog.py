@@ -58,14 +58,15 @@ hist_events AS (
   SELECT sync_id, CAST(0 AS BIGINT) AS seq, 'start' AS kind, module_name, 'incremental' AS sync_type,
          started_at AS event_at, 'running' AS status, CAST(NULL AS TIMESTAMP) AS last_processed_ts,
          CAST(NULL AS BIGINT) AS records_processed, CAST(NULL AS BIGINT) AS records_inserted,
-         CAST(NULL AS BIGINT) AS records_failed, CAST(NULL AS VARCHAR) AS error_message FROM hist_runs
+         CAST(NULL AS BIGINT) AS records_failed, CAST(NULL AS VARCHAR) AS error_message,
+         CAST(NULL AS VARCHAR) AS last_processed_cursor FROM hist_runs
   UNION ALL
   SELECT sync_id, 1, 'checkpoint', module_name, NULL, started_at + INTERVAL 1 MINUTE, 'running', max_cursor,
-         records_processed, records_inserted, records_failed, NULL FROM hist_runs
+         records_processed, records_inserted, records_failed, NULL, NULL FROM hist_runs
   UNION ALL
   SELECT sync_id, 2, 'finish', module_name, NULL, started_at + INTERVAL 2 MINUTE,
          CASE WHEN failed THEN 'failed' ELSE 'success' END, max_cursor, NULL, NULL, NULL,
-         CASE WHEN failed THEN '{fx.FAILED_MESSAGE}' END FROM hist_runs WHERE period < newest
+         CASE WHEN failed THEN '{fx.FAILED_MESSAGE}' END, NULL FROM hist_runs WHERE period < newest
 ),
 runs0 AS (
   SELECT sync_id,
@@ -79,6 +80,8 @@ runs0 AS (
     arg_max_null(records_inserted, CASE WHEN kind = 'checkpoint' THEN seq END) AS records_inserted,
     arg_max_null(records_failed, CASE WHEN kind = 'checkpoint' THEN seq END) AS records_failed,
     arg_max_null(error_message, CASE WHEN kind = 'finish' THEN seq END) AS error_message,
+    arg_max_null(last_processed_cursor, CASE WHEN kind IN ('checkpoint', 'finish') THEN seq END)
+      AS last_processed_cursor,
     CAST(count(*) FILTER (WHERE kind = 'checkpoint') AS BIGINT) AS source_calls,
     CAST(sum(CASE WHEN kind = 'checkpoint' THEN records_inserted END) AS BIGINT) AS records_inserted_total
   FROM hist_events GROUP BY sync_id

@@ -134,6 +134,8 @@ RUN_EVENT = _s(
     ("records_inserted", T.LongType()),
     ("records_failed", T.LongType()),
     ("error_message", T.StringType()),
+    # cursor progress of entities whose cursor is not a timestamp (text form)
+    ("last_processed_cursor", T.StringType()),
 )
 
 # Folded run row (13 columns).
