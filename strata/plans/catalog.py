@@ -280,9 +280,18 @@ def q_distinct_tax_ids(spark, sf_dir):
     return fx.raw_lines(spark, sf_dir).select(F.explode("tax_ids").alias("id")).distinct()
 
 
+def earlier_silver(bronze: DataFrame) -> DataFrame:
+    """The Silver build of an earlier day, materialised like the table it
+    stands for (reliable checkpoint in the shared folder)."""
+    from strata.session import shared_root
+
+    shared_root(bronze.sparkSession)
+    return sv.silver_lines(bronze.filter(F.col("synced_at") < F.lit(SILVER_SNAPSHOT_AT))).checkpoint(eager=True)
+
+
 def q_silver_lookback(spark, sf_dir):
     bronze = bronze_lines(spark, sf_dir)
-    earlier = sv.silver_lines(bronze.filter(F.col("synced_at") < F.lit(SILVER_SNAPSHOT_AT)))
+    earlier = earlier_silver(bronze)
     since = sv.lookback_value(earlier)
     return sv.bronze_increment(bronze, earlier, since).select(
         "id", "write_date", "synced_at", "sync_batch_id", F.lit(since).cast("timestamp_ntz").alias("lookback_ts"))
@@ -344,7 +353,7 @@ def q_silver_lines(spark, sf_dir):
 
 def q_silver_incremental(spark, sf_dir):
     bronze = bronze_lines(spark, sf_dir)
-    earlier = sv.silver_lines(bronze.filter(F.col("synced_at") < F.lit(SILVER_SNAPSHOT_AT)))
+    earlier = earlier_silver(bronze)
     return present(sv.silver_incremental(earlier, bronze, sv.LINES, BRONZE_LINE))
 
 

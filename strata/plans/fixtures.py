@@ -47,7 +47,10 @@ def widen(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(sf_path(sf_dir, name))
+    """A driver table, widened when its scan is under-partitioned (a single
+    row group is a single task; at scale the scan already has more splits
+    than cores and nothing changes)."""
+    return widen(spark.read.parquet(sf_path(sf_dir, name)))
 
 
 def _pair(id_col, label_col):
