@@ -39,7 +39,9 @@ def has_children(headers: DataFrame, children: DataFrame | None, parent_col: str
     ships one, else a left-semi join against the line frame."""
     if children is None:
         return headers.filter(F.coalesce(F.size(list_col) > 0, F.lit(False)))
-    p = children.select(F.col(parent_col).alias("_parent"))
+    # distinct first: the partial aggregate ships one row per parent per map
+    # task, so a header owning a third of all lines is no hot build side
+    p = children.select(F.col(parent_col).alias("_parent")).distinct()
     return headers.join(p, headers[key] == p["_parent"], "left_semi")
 
 

@@ -59,7 +59,7 @@ def apply_domain(df: DataFrame, domain: Sequence[Term],
     out = df.filter(reduce(lambda a, b: a & b, local)) if local else df
     for field, op in joined:
         other, fk = relations[field]
-        parents = other.select(F.col(fk).alias("_parent"))
+        parents = other.select(F.col(fk).alias("_parent")).distinct()  # pre-aggregate hot parents
         how = "left_semi" if op == "!=" else "left_anti"
         out = out.join(parents, out[key] == parents["_parent"], how)
     return out
