@@ -85,11 +85,16 @@ def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_runs_bronze_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze headers after a cold-start run on snapshot 1 and an incremental
     run on snapshot 2 (from run 1's watermark, inclusive)."""
+    from strata.session import shared_root
+
+    shared_root(spark)
     tax = tax_dim(spark, sf_dir)
     rl_ = fx.raw_lines(spark, sf_dir)
-    par = parents(rl_)
+    # both runs ask the same line table: its (narrow) parent set is materialised
+    # once, and so is run 1's id set, which feeds the watermark and the read
+    par = parents(rl_).distinct().checkpoint(eager=True)
     v1 = fx.raw_headers(spark, sf_dir, 1)
-    ids1 = ex.fetch_new_ids(v1, None, par)
+    ids1 = ex.fetch_new_ids(v1, None, par).checkpoint(eager=True)
     wm1 = ids1.agg(F.max("write_date")).first()[0]
     h1, _, _ = tr.transform(read_by_ids(v1, ids1), tax, rl_, tax_bounded=True)
     v2 = fx.raw_headers(spark, sf_dir, 2)

@@ -86,3 +86,29 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 def sf_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
+
+
+def size_shuffle(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 128 << 20,
+                 expansion: float = 3.0) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so a shuffle partition holds about
+    ``target_partition_bytes`` of (decoded, ``expansion``-times the Parquet
+    size) input, never fewer than two per core.  AQE then coalesces small
+    partitions and splits skewed ones from runtime statistics."""
+    cores = spark.sparkContext.defaultParallelism
+    n = max(2 * cores, int(input_bytes * expansion // target_partition_bytes) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))
+    return n
+
+
+def input_size(spark: SparkSession, paths: list[str]) -> int:
+    """Total bytes under the given paths (Hadoop file system, any scheme)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
