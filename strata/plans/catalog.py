@@ -82,6 +82,15 @@ def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.ingest_stamp(lines)
 
 
+def stored_bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze lines as a stored table would serve them to several readers:
+    materialised once (reliable checkpoint in the shared folder)."""
+    from strata.session import shared_root
+
+    shared_root(spark)
+    return bronze_lines(spark, sf_dir).checkpoint(eager=True)
+
+
 def two_runs_bronze_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze headers after a cold-start run on snapshot 1 and an incremental
     run on snapshot 2 (from run 1's watermark, inclusive)."""
@@ -295,7 +304,7 @@ def earlier_silver(bronze: DataFrame) -> DataFrame:
 
 
 def q_silver_lookback(spark, sf_dir):
-    bronze = bronze_lines(spark, sf_dir)
+    bronze = stored_bronze_lines(spark, sf_dir)
     earlier = earlier_silver(bronze)
     since = sv.lookback_value(earlier)
     return sv.bronze_increment(bronze, earlier, since).select(
@@ -357,13 +366,13 @@ def q_silver_lines(spark, sf_dir):
 
 
 def q_silver_incremental(spark, sf_dir):
-    bronze = bronze_lines(spark, sf_dir)
+    bronze = stored_bronze_lines(spark, sf_dir)
     earlier = earlier_silver(bronze)
     return present(sv.silver_incremental(earlier, bronze, sv.LINES, BRONZE_LINE))
 
 
 def q_replay_idempotent(spark, sf_dir):
-    bronze = bronze_lines(spark, sf_dir)
+    bronze = stored_bronze_lines(spark, sf_dir)
     replay = (bronze.filter(F.col("synced_at") >= F.lit(REPLAY_FROM))
               .withColumn("synced_at", F.col("synced_at") + F.expr(f"INTERVAL {REPLAY_LAG_MINUTES} MINUTES"))
               .withColumn("sync_batch_id", F.lit("replay")))
