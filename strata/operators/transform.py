@@ -106,6 +106,11 @@ def flatten_lines(raw_lines: DataFrame) -> DataFrame:
 
     Lines whose parent reference is falsy are dropped.  Tax rate and the
     header's date are attached later (they need joins)."""
+    return flatten_lines_with(raw_lines)
+
+
+def flatten_lines_with(raw_lines: DataFrame, extra: list | None = None) -> DataFrame:
+    """``flatten_lines`` carrying ``extra`` columns through the projection."""
     m2o = T.ArrayType(T.StringType())
     product = _col_or_null(raw_lines, "product_id", m2o)
     account = _col_or_null(raw_lines, "account_id", m2o)
@@ -130,6 +135,7 @@ def flatten_lines(raw_lines: DataFrame) -> DataFrame:
                        _col_or_null(raw_lines, "price_total", T.DoubleType())).alias("tax_amount"),
             parse_naive_utc(_col_or_null(raw_lines, "write_date", T.StringType())).alias("write_date"),
             parent.alias("account_move_id"),
+            *(extra or []),
         )
     )
 
@@ -206,14 +212,34 @@ def explode_nested_lines(raw_nested: DataFrame) -> DataFrame:
     )
 
 
+def normalize_nested_lines(raw_nested: DataFrame, tax: DataFrame, tax_bounded: bool | None = None) -> DataFrame:
+    """Lines of nested aggregates -> domain lines, without a join: a line
+    takes its header's id and date from the record it sits in, and lines of
+    rejected headers are dropped with them."""
+    ok, _ = validity(raw_nested)
+    lines = (raw_nested.filter(ok)
+             .select(F.col("id").alias("_parent"), parse_date(F.col("date")).alias("_hdate"),
+                     F.explode("_lines").alias("l")))
+    cols = [F.col(f"l.{n}").alias(n) for n in lines.select("l.*").columns if n != "move_id"]
+    raw = lines.select(*cols, F.array(F.col("_parent").cast("string")).alias("move_id"), "_hdate")
+    flat = flatten_lines_with(raw, extra=[F.col("_hdate").alias("date")])
+    return attach_tax_rate(flat, tax, tax_bounded).select(*LINE_COLS)
+
+
 def transform(raw_headers: DataFrame, tax: DataFrame, raw_lines: DataFrame | None = None,
               default_currency: str = DEFAULT_CURRENCY,
               tax_bounded: bool | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """-> (headers, lines, rejects).  Lines come from ``raw_lines`` or, when
-    None, from the ``_lines`` array nested in each header."""
+    None, from the ``_lines`` array nested in each header.
+
+    A header split over several nested records (see ``nest_lines``) appears
+    once: its records carry identical header fields, so one per id is kept
+    (a partial aggregate, safe for a hot id)."""
     if raw_lines is None:
-        raw_lines = explode_nested_lines(raw_headers)
-        raw_headers = raw_headers.drop("_lines")
+        lines = normalize_nested_lines(raw_headers, tax, tax_bounded)
+        raw_headers = raw_headers.drop("_lines").dropDuplicates(["id"])
+        headers = normalize_headers(raw_headers, default_currency).select(*HEADER_COLS)
+        return headers, lines, rejected_records(raw_headers)
     headers = normalize_headers(raw_headers, default_currency).select(*HEADER_COLS)
     lines = normalize_lines(raw_lines, headers, tax, tax_bounded)
     return headers, lines, rejected_records(raw_headers)

@@ -38,3 +38,18 @@ def test_hot_header_is_sliced_and_complete(spark):
     assert sum(v[1] for v in per.values()) == n_hot + n_other
     parents = raw_l.select(tr.line_parent_id(raw_l).alias("account_move_id"))
     assert has_children(heads, parents).count() == 3001
+
+
+def test_sliced_header_transforms_once(spark):
+    from strata.schemas import TAX
+
+    raw_h = spark.createDataFrame([], RAW_MOVE).unionByName(
+        spark.range(1, 3).select("id", F.lit("2024-01-01").alias("date")), allowMissingColumns=True)
+    lines = spark.range(0, 2500).select((F.col("id") + 100).alias("id"), F.array(F.lit("1"), F.lit("x")).alias("move_id"))
+    raw_l = spark.createDataFrame([], RAW_LINE).unionByName(lines, allowMissingColumns=True)
+    nested = tr.nest_lines(raw_h, raw_l, max_lines_per_record=300)
+    assert nested.filter("id = 1").count() > 1  # the hot header is sliced
+    heads, out, rej = tr.transform(nested, spark.createDataFrame([(1, 19.0)], TAX), tax_bounded=True)
+    assert sorted(r.id for r in heads.collect()) == [1, 2]
+    assert out.count() == 2500 and out.filter("account_move_id = 1 AND date = DATE'2024-01-01'").count() == 2500
+    assert rej.count() == 0
