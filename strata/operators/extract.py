@@ -54,6 +54,11 @@ def capped(df: DataFrame, cursor: str, key: str, cap: int) -> DataFrame:
     ``cap`` rows at most), then one pushed-down filter."""
     if not cap:
         return df
+    from strata.session import shared_root
+
+    shared_root(df.sparkSession)
+    # the candidate set is read twice (top-k, then filter): materialise it once
+    df = df.checkpoint(eager=True)
     c = cursor_col(df, cursor)
     top = df.select(c.alias("_c"), F.col(key)).filter(F.col("_c").isNotNull()) \
         .orderBy(F.col("_c").asc(), F.col(key).asc()).limit(cap)
