@@ -81,3 +81,23 @@ def silver_incremental(silver: DataFrame, bronze: DataFrame, spec: EntitySpec, b
     new = mirror(bronze_increment(bronze, silver).filter(F.col("date").isNotNull()), bronze_schema)
     both = silver.select(*new.columns).unionByName(new)
     return dedup_latest(both, list(spec.key), silver_order(both, spec, total))
+
+
+def materialize(spark, bronze_path: str, silver_base: str, spec: EntitySpec, bronze_schema,
+                incremental: bool = False) -> str:
+    """Build one Silver table from its Bronze table and write it as a new
+    version folder (never over the path being read); returns that path.
+
+    ``incremental`` refreshes the current version with the Bronze rows
+    ingested since its newest row; otherwise a full rescan is made."""
+    from strata.sinks import tables
+    from strata.sources.bronze import scan_bronze
+
+    bronze = scan_bronze(spark, bronze_path, bronze_schema, full=True)
+    current = tables.current_version(spark, silver_base) if incremental else None
+    if current is None:
+        out = build_silver(bronze, spec, bronze_schema)
+    else:
+        previous = spark.read.parquet(current)
+        out = silver_incremental(previous, bronze, spec, bronze_schema)
+    return tables.write_version(out, silver_base)

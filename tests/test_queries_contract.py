@@ -35,3 +35,9 @@ def test_silver_lines_plan_shape(spark, sf_dir):
     assert "WindowGroupLimit" in plan          # map-side top-1 per key before the shuffle
     assert "BroadcastHashJoin" in plan         # the proven-bounded tax registry is still broadcast
     assert "SortMergeJoin" in plan             # lines x headers shuffle on the move id
+
+
+def test_unused_label_join_is_eliminated(spark, sf_dir):
+    for name in ("valid_records", "cold_start_pull", "batch_slices"):
+        plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "customer.parquet" not in plan, name
