@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, semi / anti joins."""
+"""Join helper: broadcast a dimension only behind a proven size bound."""
 
 from __future__ import annotations
 
@@ -23,10 +23,3 @@ def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
         checked = bounded_rows(dim, max_rows)
     return fact.join(F.broadcast(dim) if checked else dim, on, how)
 
-
-def semi(df: DataFrame, other: DataFrame, on, how: str = "left_semi") -> DataFrame:
-    return df.join(other, on, how)
-
-
-def anti(df: DataFrame, other: DataFrame, on) -> DataFrame:
-    return df.join(other, on, "left_anti")

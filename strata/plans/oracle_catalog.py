@@ -7,7 +7,7 @@ from strata.functions.tabular import _NUMBER
 from strata.plans import catalog as c
 from strata.plans import fixtures as fx
 from strata.plans import oracle as o
-from strata.schemas import BRONZE_LINE, BRONZE_MOVE, LINE_FIELDS, MOVE_FIELDS
+from strata.schemas import BRONZE_LINE, LINE_FIELDS, MOVE_FIELDS
 
 P = o.parse_ts
 
