@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.llm.common import (blocks, discard, grams, land, lower_az, mix, ragged, ship, text_or_empty,
                                whole_grams, word_hashes, word_spans)
@@ -36,6 +35,8 @@ ROWS = BINS // BANDS
 #: Rounds without a new link after which the star rounds end.
 QUIET_ROUNDS = 2
 _PROBES = 4096
+#: Links that one task handles when components are made.
+LINKS_PER_TASK = 200_000
 
 
 def _probe(attempt: int) -> np.ndarray:
@@ -128,25 +129,33 @@ def _sets(shingle: int):
     return run
 
 
-def connected_components(edges: DataFrame, kind: T.DataType) -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b): the smallest node
-    reachable, by alternating large-star and small-star steps over tables."""
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """The frame in as many partitions as a table of ``rows`` links is worth."""
+    return df.coalesce(1 + rows // LINKS_PER_TASK)
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(node, component) for every node of ``edges`` (a, b) that is not its
+    component's smallest, by alternating large-star and small-star steps."""
     cur = land(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                .where("u <> v").distinct(), "cc")
+    rows = cur.count()
     mark = None
     while True:
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(low, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = _small(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), rows)
+        large = _small(both.join(low, "u").where(F.col("v") > F.col("u"))
+                       .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), rows)
+        large = land(large, "cc-large")
+        low = _small(large.groupBy("u").agg(F.min("v").alias("m")), rows)
         small = (large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))))
             .alias("e")).select("e.u", "e.v").where("u <> v").distinct())
-        nxt = land(small, "cc")
+        nxt = land(_small(small, rows), "cc")
         now = nxt.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(cur)
-        cur = nxt
+        discard(large)
+        cur, rows = nxt, now[0]
         if mark == now:
             break
         mark = now
@@ -172,15 +181,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crowded = in_band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     member = land(in_band.join(crowded, "bucket").distinct(), "minhash-buckets")
 
-    # rows of one id are one document, whatever their texts
-    links = land(classes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                 .select(F.col("node").alias("a"), F.col("node").alias("b")), "minhash-links")
+    label = None
     if not member.isEmpty():
         nodes = member.select("node").distinct()
         wanted = pairs.join(nodes, F.col("_id") == F.col("node"), "left_semi")
         sets = land(wanted.mapInArrow(_sets(shingle), f"node {id_type}, shingles array<bigint>"), "minhash-sets")
-        links = _star_rounds(member, sets, links, kind, percent)
-    label = connected_components(links, kind) if not links.isEmpty() else None
+        label = _star_rounds(member, sets, percent)
     named = sketch.join(classes.select("key1", "key2", "node"), ["key1", "key2"], "left")
     if label is None:
         component = F.col("node")
@@ -193,42 +199,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("kept", F.col("component_id").isNull() | (F.col(id_col) == F.col("component_id")))
 
 
-def _star_rounds(member: DataFrame, sets: DataFrame, links: DataFrame, kind: T.DataType, percent: int) -> DataFrame:
-    """Links found by star edges in the buckets, with another centre each round."""
-    tried = 0
-    quiet = 0
-    label = None
-    while quiet < QUIET_ROUNDS:
-        here = member if label is None else \
-            member.join(label, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c"))
-        if label is None:
-            here = here.withColumn("c", F.col("node"))
+def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """(node, component) from links found by star edges in the buckets, with
+    another centre each round; buckets within one component are left out."""
+    label = None  # of nodes that are not their component's smallest
+    here = member.withColumn("c", F.col("node"))
+    tried = quiet = 0
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    while True:
         rank = F.struct("node", "c") if tried == 0 else \
             F.struct(F.xxhash64("node", "bucket", F.lit(tried)).alias("h"), "node", "c")
-        here = land(here, "minhash-round")
         centre = here.groupBy("bucket").agg(F.min(rank).alias("r"), F.min("c").alias("lo"), F.max("c").alias("hi")) \
-            .where("lo <> hi").select("bucket", F.col("r.node").alias("centre"), F.col("r.c").alias("cc"))
-        star = land(here.join(centre, "bucket").where("c <> cc")
-                    .select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct(),
-                    "minhash-stars")
-        discard(here)
-        tried += 1
-        if star.isEmpty():
-            return links
-        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+            .where("lo <> hi").select("bucket", F.col("r.node").alias("a"), F.col("r.c").alias("ca"))
+        star = (here.join(centre, "bucket").where("c <> ca")
+                .select("a", "ca", F.col("node").alias("b"), F.col("c").alias("cb")).distinct())
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
-        found = land(star.join(left, "a").join(right, "b")
-                     .withColumn("common", common)
+        found = land(star.join(left, "a").join(right, "b").withColumn("common", common)
                      .where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common")))
-                     .select("a", "b").distinct(), "minhash-found")
+                     .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "minhash-found")
+        tried += 1
         if found.isEmpty():
             quiet += 1
+            if quiet >= QUIET_ROUNDS or here.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")) \
+                    .where("lo <> hi").isEmpty():
+                return label
             continue
         quiet = 0
-        links = land(links.union(found), "minhash-links")
-        label = connected_components(links, kind)
-    return links
+        merged = land(connected_components(found), "minhash-merged")
+        moved = merged.select(F.col("node").alias("c"), F.col("component").alias("to"))
+        if label is None:
+            label = merged
+        else:  # components that moved, and nodes that were their component's smallest
+            old = label.withColumnRenamed("component", "c").join(moved, "c", "left") \
+                .select("node", F.coalesce("to", "c").alias("component"))
+            label = land(old.union(merged), "minhash-label")
+        renamed = here.join(moved, "c", "left").select("bucket", "node", F.coalesce("to", "c").alias("c"))
+        mixed = renamed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")) \
+            .where("lo <> hi").select("bucket")
+        here = land(renamed.join(mixed, "bucket"), "minhash-round")
 
 
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
