@@ -81,6 +81,17 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def replaced(docs: DataFrame, text_col: str, text: Column) -> list[Column]:
+    """The columns of ``docs`` out of a struct ``_row``, with ``text`` where it is
+    not null in place of the text, and ``n_chars`` counted anew there."""
+    out = []
+    for c in docs.columns:
+        old = F.col("_row").getField(c)
+        new = text if c == text_col else F.length(text).cast(docs.schema[c].dataType) if c == "n_chars" else None
+        out.append((old if new is None else F.when(text.isNotNull(), new).otherwise(old)).alias(c))
+    return out
+
+
 # -- byte blocks ----------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ Components come from alternating large-star / small-star steps on the links.
 
 Defined results: null or wordless text has an empty set, is linked with
 nothing and kept. A row without id takes part in nothing: its component is
-null and it is kept. Rows of one id are one document: their sets are linked.
+null and it is kept. Rows that share an id are each judged by their own text.
 Extra columns are ignored by ``near_duplicates`` and passed on by ``dedupe``.
 """
 
@@ -244,7 +244,8 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
            percent: int = 80) -> DataFrame:
     """The input without near duplicates: of each component the row of the
     smallest id stays, and one row of a repeated id; rows without id stay."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     kept = near_duplicates(docs, id_col, text_col, shingle, percent).where(F.col("kept") & F.col(id_col).isNotNull()) \
         .select(F.col(id_col).alias("_kept_id")).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("_kept_id"), "left_semi")
-    return named.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    named = rows.where("_id IS NOT NULL").join(kept, F.col("_id") == F.col("_kept_id"), "left_semi")
+    return named.dropDuplicates(["_id"]).unionByName(rows.where("_id IS NULL")).select("_row.*")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import blocks, grams, ship, text_or_empty, whole_grams, word_hashes, word_spans
+from strata.llm.common import blocks, grams, replaced, ship, text_or_empty, whole_grams, word_hashes, word_spans
 
 ANCHOR = 8
 
@@ -210,9 +210,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     left = parse_documents(docs, id_col, text_col, window).where("n_removed > 0") \
         .groupBy(F.col(id_col).alias("_cut_id")).agg(F.max("text_left").alias("_left"),
                                                      F.max(F.col("n_removed") < F.col("n_words")).alias("_some"))
-    out = docs.join(left, F.col(id_col) == F.col("_cut_id"), "left").where(F.coalesce("_some", F.lit(True)))
-    text = F.coalesce("_left", text_col)
-    named = [text.alias(c) if c == text_col else
-             F.when(F.col("_left").isNotNull(), F.length("_left")).otherwise(F.col(c)).cast(docs.schema[c].dataType)
-             .alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*named)
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    out = rows.join(left, F.col("_id") == F.col("_cut_id"), "left").where(F.coalesce("_some", F.lit(True)))
+    return out.select(*replaced(docs, text_col, F.col("_left")))

@@ -131,6 +131,8 @@ def learn(labelled: DataFrame, good_col: str = "quality", features: tuple[str, .
                       for f in features for junk in (True, False)]).first()
     grid = {f: sorted({c for junk in (True, False) for c in cuts[f"{f}_{junk}"] or []}) for f in features}
     rules: list[list[Test]] = []
+    if not any(grid.values()):
+        return rules
     left = rows
     while len(rules) < MOST_RULES:
         rule = _grow(left.where("NOT _prune"), grid)
@@ -227,6 +229,7 @@ def judge(docs: DataFrame, rules: list[list[Test]], text_col: str = "text") -> D
 
 def keep(docs: DataFrame, rules: list[list[Test]], text_col: str = "text") -> DataFrame:
     """The documents that the base rules and the learned list keep."""
+    rows = docs.select(F.col(f"`{text_col}`").alias("_raw"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     # explode drops the null arrays; a filter would be pushed down and compute the counts once per test
     once = F.explode(F.when(F.col("kept"), F.array(F.lit(1)))).alias("_one")
-    return judge(docs, rules, text_col).select(*[F.col(f"`{c}`") for c in docs.columns], once).drop("_one")
+    return judge(rows, rules, "_raw").select("_row", once).select("_row.*")

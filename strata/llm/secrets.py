@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import land, text_or_empty
+from strata.llm.common import land, replaced, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -158,12 +158,9 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id
     joined by blob, so repeated and null ids keep their own texts."""
     found = scan(docs, rules, id_col, text_col, ledger).where(F.size("found") > 0) \
         .select(F.col("blob").alias("_blob"), "found").dropDuplicates(["_blob"])
-    # found spans join by the texts' own address
-    out = docs.withColumn("_address", F.sha2(text_or_empty(text_col), 256)) \
-        .join(found, F.col("_address") == F.col("_blob"), "left")
-    text = F.when(F.col("found").isNotNull(), masked(F.col(text_col), F.col("found"), mask)).otherwise(F.col(text_col))
-    out = out.withColumn("_masked", text)
-    named = [F.col("_masked").alias(c) if c == text_col else
-             F.when(F.col("found").isNotNull(), F.length("_masked")).otherwise(F.col(c)).cast(docs.schema[c].dataType)
-             .alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*named)
+    rows = docs.select(text_or_empty(text_col).alias("_text"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")) \
+        .withColumn("_address", F.sha2("_text", 256))
+    out = rows.join(found, F.col("_address") == F.col("_blob"), "left").withColumn(
+        "_masked", F.when(F.col("found").isNotNull(), masked(F.col("_text"), F.col("found"), mask)))
+    return out.select(*replaced(docs, text_col, F.col("_masked")))

@@ -161,6 +161,8 @@ def _count_contexts(depth: int):
             symbols, place, _ = _spelled(*byte_view(words))
             for d in range(depth + 1):
                 code = np.sort(_codes(symbols, place, d))
+                if not len(code):
+                    continue  # no word is this long
                 first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
                 n = np.diff(np.append(first, len(code)))
                 yield pa.RecordBatch.from_arrays([pa.array(code[first]), pa.array(n)], names=["code", "n"])
