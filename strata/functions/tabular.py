@@ -27,14 +27,17 @@ def is_numeric_header(name: str) -> bool:
 
 def normalize_number_text(col: Column) -> Column:
     """Numeric text -> canonical text: integral values without a fraction,
-    others rounded to 2 places; blank or non-numeric text is unchanged."""
+    others rounded to 2 places, never in scientific notation; blank or
+    non-numeric text is unchanged."""
     parsed = F.trim(col).try_cast("double")
     # finite values only: an overflowing literal such as 1e400 stays as it is
     num = F.when(col.rlike(_NUMBER) & (F.abs(parsed) < F.lit(float("inf"))), parsed)
     integral = F.round(num, 0) == num
+    rounded = F.round(num, 2)
     canon = (
         F.when(integral, num.try_cast("decimal(38,0)").cast("string"))
-        .otherwise(F.round(num, 2).cast("string"))
+        .when((num < 0) & (rounded == 0), F.lit("-0.0"))
+        .otherwise(F.regexp_replace(rounded.try_cast("decimal(38,2)").cast("string"), r"(\.[0-9])0$", "$1"))
     )
     return F.coalesce(F.when(num.isNotNull(), canon), col)
 

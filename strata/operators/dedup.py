@@ -46,10 +46,10 @@ def dedup_latest(df: DataFrame, key: Sequence[str] | str, order: Sequence[str |
 
 def full_order(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> list[str]:
     """``order`` extended with every remaining column (descending) so that the
-    winner is deterministic even when the given order ties."""
+    winner is deterministic even when the given order ties (maps have no order)."""
     keys = {key} if isinstance(key, str) else set(key)
     named = {t.split()[0] for t in order}
     rest = [f"{f.name} desc" for f in df.schema.fields
             if f.name not in keys and f.name not in named
-            and f.dataType.simpleString().split("<")[0] not in ("array", "map", "struct")]
+            and "map<" not in f.dataType.simpleString()]
     return [*order, *rest]

@@ -1,25 +1,12 @@
-"""Join helper: broadcast a dimension only behind a proven size bound."""
+"""Join helper: broadcast a dimension only where its size is bounded."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may have and still be broadcast.  Beyond it the join
-# stays a shuffle join (and AQE may still convert it from runtime sizes).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = BROADCAST_MAX_ROWS, checked: bool | None = None) -> DataFrame:
-    """Fact-to-dimension join.  The dimension is broadcast only when its size
-    is proven below ``max_rows``; otherwise a shuffle join is planned."""
-    if checked is None:
-        checked = bounded_rows(dim, max_rows)
-    return fact.join(F.broadcast(dim) if checked else dim, on, how)
 
+def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left", bounded: bool = False) -> DataFrame:
+    """Fact-to-dimension join.  The caller states that the dimension is bounded
+    by construction; otherwise Spark's own byte-size check decides."""
+    return fact.join(F.broadcast(dim) if bounded else dim, on, how)

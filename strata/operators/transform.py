@@ -23,10 +23,15 @@ from strata.functions.columns import (
     truthy,
 )
 from strata.functions.dates import parse_date, parse_naive_utc
+from strata.operators.dedup import dedup_latest, full_order
 from strata.operators.joins import dimension_join
 
 # Fixed value: the currency label used when a record carries none.
 DEFAULT_CURRENCY = "CLP"
+# Where the JSON reader puts a record that it cannot parse.
+CORRUPT = "_corrupt_record"
+# Partial arrays that a header's lines are gathered in when they are nested.
+NEST_SALTS = 16
 
 HEADER_COLS = [
     "id", "name", "move_type", "date", "partner_id", "partner_name", "company_id",
@@ -45,11 +50,23 @@ def _col_or_null(df: DataFrame, name: str, dtype: T.DataType):
 
 
 def validity(raw: DataFrame) -> tuple:
-    """(is_valid, reject_reason) columns for raw headers."""
+    """(is_valid, reject_reason) columns for raw headers: an unreadable record,
+    no id, no date, or a date or cursor that is there but cannot be parsed."""
     has_id = truthy(raw, "id") if "id" in raw.columns else F.lit(False)
     has_date = truthy(raw, "date") if "date" in raw.columns else F.lit(False)
-    reason = F.when(~has_id, F.lit("missing_id")).when(~has_date, F.lit("missing_date"))
-    return has_id & has_date, reason
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    bad_date = has_date & parse_date(F.col("date")).isNull() if "date" in raw.columns else F.lit(False)
+    reason = (F.when(corrupt, F.lit("corrupt_record")).when(~has_id, F.lit("missing_id"))
+              .when(~has_date, F.lit("missing_date")).when(bad_date, F.lit("bad_date"))
+              .when(bad_cursor(raw), F.lit("bad_cursor")))
+    return reason.isNull(), reason
+
+
+def bad_cursor(raw: DataFrame):
+    """A cursor text that is there but is no timestamp."""
+    if "write_date" not in raw.columns:
+        return F.lit(False)
+    return truthy(raw, "write_date") & parse_naive_utc(F.col("write_date").cast("string")).isNull()
 
 
 def valid_records(raw: DataFrame) -> DataFrame:
@@ -62,6 +79,18 @@ def rejected_records(raw: DataFrame) -> DataFrame:
     return raw.filter(~ok).withColumn("reject_reason", reason)
 
 
+def latest_landed(raw: DataFrame, key: str = "id", cursor: str = "write_date") -> DataFrame:
+    """The newest landed version of each record (landing folders gather
+    versions): newest cursor, then every other column.  Records without a key
+    all stay, to be rejected and counted."""
+    known = raw.filter(F.col(key).isNotNull())
+    if cursor not in raw.columns:
+        return dedup_latest(known, key, full_order(known, key, [])).unionByName(raw.filter(F.col(key).isNull()))
+    marked = known.withColumn("_cursor", parse_naive_utc(F.col(cursor).cast("string")))
+    newest = dedup_latest(marked, key, full_order(marked, key, ["_cursor desc"])).drop("_cursor")
+    return newest.unionByName(raw.filter(F.col(key).isNull()))
+
+
 def flatten_headers(raw: DataFrame, default_currency: str = DEFAULT_CURRENCY) -> DataFrame:
     """Raw header columns -> flat domain header columns (no validity filter)."""
     s = T.StringType()
@@ -143,11 +172,11 @@ def flatten_lines_with(raw_lines: DataFrame, extra: list | None = None) -> DataF
 def attach_tax_rate(lines: DataFrame, tax: DataFrame, tax_bounded: bool | None = None) -> DataFrame:
     """Rate of the first tax id; unknown id or empty list -> 0.0.
 
-    The registry is broadcast when its size is proven small (``tax_bounded``
-    from the caller, else a bounded row count); otherwise a shuffle join."""
+    The registry is broadcast when the caller knows it is bounded
+    (``tax_bounded``); otherwise Spark's size check decides."""
     t = tax.select(F.col("id").alias("_tax_id"), F.col("amount").alias("_tax_amount"))
     keyed = lines.withColumn("_first_tax", first_tax_id("tax_ids"))
-    joined = dimension_join(keyed, t, keyed["_first_tax"] == t["_tax_id"], "left", checked=tax_bounded)
+    joined = dimension_join(keyed, t, keyed["_first_tax"] == t["_tax_id"], "left", bounded=bool(tax_bounded))
     return (
         joined.withColumn("tax_rate", F.coalesce(F.col("_tax_amount"), F.lit(0.0)))
         .drop("_first_tax", "_tax_id", "_tax_amount")
@@ -174,30 +203,29 @@ def normalize_lines(raw_lines: DataFrame, headers: DataFrame, tax: DataFrame,
     return attach_tax_rate(lines, tax, tax_bounded).select(*LINE_COLS)
 
 
-def nest_lines(raw_headers: DataFrame, raw_lines: DataFrame, max_lines_per_record: int = 1000) -> DataFrame:
-    """Attach raw lines to their header as ``_lines`` (left outer: a header
-    without lines keeps ``[]``; lines with a falsy parent are dropped).
+def nest_lines(raw_headers: DataFrame, raw_lines: DataFrame) -> DataFrame:
+    """Attach raw lines to their header as ``_lines``, in id order (left outer:
+    a header without lines keeps ``[]``; lines with a falsy parent are dropped).
 
-    No collected array is unbounded: a header with more than
-    ``max_lines_per_record`` lines becomes several nested records, each with
-    the header fields and a slice of its lines (slice = hash of the line id
-    modulo the number of slices the header needs).  The per-header counts
-    are a partial (map-side) aggregate; a hot header is spread over slices
-    instead of being collected in one task."""
+    A nested record holds all lines of its header, so it is only made on
+    request; the jobs keep lines flat (``inherit_header``), where AQE splits a
+    hot header.  Lines are collected per (header, salt) first, so a hot
+    header's rows are gathered by several tasks and only arrays meet."""
     parent = line_parent_id(raw_lines)
     lines = raw_lines.filter(F.coalesce(parent != 0, F.lit(False))).withColumn("_parent", parent)
-    counts = lines.groupBy("_parent").agg(F.count(F.lit(1)).alias("_n"))
-    slices = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_lines_per_record)))
     line_struct = F.struct(*[F.col(c) for c in raw_lines.columns])
     grouped = (
-        lines.join(counts, "_parent")
-        .withColumn("_slice", F.pmod(F.xxhash64("id"), slices.cast("long")))
-        .groupBy("_parent", "_slice")
-        .agg(F.collect_list(line_struct).alias("_lines"))
+        lines.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(NEST_SALTS)))
+        .groupBy("_parent", "_salt")
+        .agg(F.collect_list(line_struct).alias("_part"))
+        .groupBy("_parent")
+        .agg(F.flatten(F.collect_list("_part")).alias("_lines"))
+        .withColumn("_lines", F.array_sort("_lines", lambda a, b: F.when(a["id"] < b["id"], -1)
+                                           .when(a["id"] > b["id"], 1).otherwise(0)))
     )
     empty = F.array().cast(T.ArrayType(raw_lines.select(line_struct.alias("s")).schema["s"].dataType))
     nested = raw_headers.join(grouped, raw_headers["id"] == grouped["_parent"], "left")
-    return nested.withColumn("_lines", F.coalesce(F.col("_lines"), empty)).drop("_parent", "_slice")
+    return nested.withColumn("_lines", F.coalesce(F.col("_lines"), empty)).drop("_parent")
 
 
 def explode_nested_lines(raw_nested: DataFrame) -> DataFrame:
@@ -232,12 +260,11 @@ def transform(raw_headers: DataFrame, tax: DataFrame, raw_lines: DataFrame | Non
     """-> (headers, lines, rejects).  Lines come from ``raw_lines`` or, when
     None, from the ``_lines`` array nested in each header.
 
-    A header split over several nested records (see ``nest_lines``) appears
-    once: its records carry identical header fields, so one per id is kept
-    (a partial aggregate, safe for a hot id)."""
+    Every record counts, versions included: choosing one per id is the job's
+    business (``latest_landed``), never the transform's."""
     if raw_lines is None:
         lines = normalize_nested_lines(raw_headers, tax, tax_bounded)
-        raw_headers = raw_headers.drop("_lines").dropDuplicates(["id"])
+        raw_headers = raw_headers.drop("_lines")
         headers = normalize_headers(raw_headers, default_currency).select(*HEADER_COLS)
         return headers, lines, rejected_records(raw_headers)
     headers = normalize_headers(raw_headers, default_currency).select(*HEADER_COLS)

@@ -228,11 +228,9 @@ def q_max_cursor(spark, sf_dir):
 def q_nest_lines(spark, sf_dir):
     nested = tr.nest_lines(fx.raw_headers(spark, sf_dir), fx.raw_lines(spark, sf_dir))
     ids = F.transform("_lines", lambda x: x["id"])
-    per_record = nested.select("id", F.size("_lines").alias("n"), F.array_min(ids).alias("lo"),
-                               F.array_max(ids).alias("hi"))
-    return per_record.groupBy("id").agg(
-        F.sum("n").cast("long").alias("n_lines"), F.min("lo").alias("first_line_id"),
-        F.max("hi").alias("last_line_id"))
+    return nested.select("id", F.size("_lines").cast("long").alias("n_lines"),
+                         F.array_min(ids).alias("first_line_id"), F.array_max(ids).alias("last_line_id"),
+                         F.array_join(F.transform(ids, lambda x: x.cast("string")), ",").alias("line_ids"))
 
 
 def q_missing_tax_ids(spark, sf_dir):

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.dates import parse_naive_utc
 from strata.operators.dedup import dedup_latest, full_order
 from strata.operators.extract import incremental_filter
 from strata.operators.transform import stamp
@@ -53,20 +54,25 @@ class EntitySync:
                 self.runlog.finish(run_id, name, "success", watermark)
                 return EntityRun(run_id, "success", watermark)
             out = self.transform(new) if self.transform else new
+            # a text cursor is compared, and kept, as the instant it names
+            text = dict(new.dtypes)[cursor] == "string" and self.cursor_type.startswith("timestamp")
+            newest = F.max(parse_naive_utc(cursor) if text else F.col(cursor))
+            processed = new.count() if self.transform else None
             obs = Observation(f"entity_{name}")
             (stamp(out, self.clock(), run_id)
-             .observe(obs, F.count(F.lit(1)).alias("rows"), F.max(cursor).alias("max_cursor"))
+             .observe(obs, F.count(F.lit(1)).alias("rows"), newest.alias("max_cursor"))
              .write.mode("append").parquet(self.bronze_path))
             metrics = obs.get
             batch_max = metrics.get("max_cursor")
             if batch_max is not None:
                 progress = batch_max if progress is None else max(progress, batch_max)
             n = int(metrics.get("rows", 0))
-            self.runlog.checkpoint(run_id, name, progress, n, n, 0)
+            processed = n if processed is None else processed
+            self.runlog.checkpoint(run_id, name, progress, processed, n, max(0, processed - n))
             self.runlog.finish(run_id, name, "success", progress)
             return EntityRun(run_id, "success", progress, n)
         except Exception as exc:
-            self.runlog.finish(run_id, name, "failed", progress, error_message=str(exc)[:2000])
+            self.runlog.finish(run_id, name, "failed", progress, error_message=str(exc))
             raise
 
 

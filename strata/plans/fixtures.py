@@ -36,21 +36,9 @@ INGEST_LAG_HOURS = 1                   # a version is ingested one hour after it
 INITIAL_LOAD_AT = "2001-09-01 00:00:00"  # ingestion time of rows without a cursor
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread an under-partitioned scan (e.g. one file with one row group)
-    over the cluster before the per-row work.  A large input already has
-    more splits than cores and is left as it is (no extra shuffle)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, widened when its scan is under-partitioned (a single
-    row group is a single task; at scale the scan already has more splits
-    than cores and nothing changes)."""
-    return widen(spark.read.parquet(sf_path(sf_dir, name)))
+    """A driver table; ``spark.sql.files.maxPartitionBytes`` decides its splits."""
+    return spark.read.parquet(sf_path(sf_dir, name))
 
 
 def _pair(id_col, label_col):

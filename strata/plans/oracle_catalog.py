@@ -230,7 +230,8 @@ SQL = {
     "max_cursor": fx_sql(f"SELECT substr(date, 1, 7) AS period, max({P(chr(110) + 'ullif(write_date, ' + chr(39) * 2 + ')')}) "
                          "AS max_cursor FROM raw_headers GROUP BY 1"),
     "nest_lines": fx_sql(
-        "SELECT h.id, CAST(count(l.id) AS BIGINT) AS n_lines, min(l.id) AS first_line_id, max(l.id) AS last_line_id "
+        "SELECT h.id, CAST(count(l.id) AS BIGINT) AS n_lines, min(l.id) AS first_line_id, max(l.id) AS last_line_id, "
+        "coalesce(string_agg(CAST(l.id AS VARCHAR), ',' ORDER BY l.id), '') AS line_ids "
         "FROM raw_headers h LEFT JOIN (SELECT * FROM raw_lines WHERE coalesce(TRY_CAST(move_id[1] AS BIGINT) <> 0, FALSE)) l "
         "ON TRY_CAST(l.move_id[1] AS BIGINT) = h.id GROUP BY h.id"),
     "missing_tax_ids": fx_sql("SELECT DISTINCT id FROM (SELECT unnest(tax_ids) AS id FROM raw_lines) "

@@ -56,8 +56,8 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and engine-written tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when the session has none (tests, local scripts) a
-    private folder is made and registered as the checkpoint directory.
+    file system).  Only in local mode (tests, scripts) is a private folder made
+    and registered when the session has none; a cluster session must name one.
     """
     sc = spark.sparkContext
     root = None
@@ -68,6 +68,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="strata-")
         sc.setCheckpointDir(root)
         try:

@@ -6,16 +6,19 @@ field projection; nothing is inferred."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from strata.operators.transform import CORRUPT
 from strata.schemas import LINE_FIELDS, MOVE_FIELDS, RAW_LINE, RAW_MOVE, RAW_MOVE_NESTED
 
 
 def read_landing(spark: SparkSession, path: str, schema, fmt: str = "json") -> DataFrame:
-    reader = spark.read.schema(schema)
-    if fmt == "json":
-        # a bad record keeps its row with NULLs rather than failing the batch
-        reader = reader.option("mode", "PERMISSIVE")
-    return reader.format(fmt).load(path)
+    if fmt != "json":
+        return spark.read.schema(schema).format(fmt).load(path)
+    # a record that cannot be parsed keeps its row, with its text, and is rejected later
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return (spark.read.schema(whole).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def project(df: DataFrame, fields: list[str]) -> DataFrame:

@@ -42,7 +42,7 @@ def _predicate(df: DataFrame, field: str, op: str, value: Any) -> Column:
         if df.schema[field].dataType.simpleString() == "string":
             col = parse_naive_utc(col)
         value = F.lit(value).cast("timestamp_ntz")
-    return F.coalesce(_CMP[op](col, value), F.lit(False))
+    return _CMP[op](col, value)  # a NULL comparison drops the row; nothing stands between it and the scan
 
 
 def apply_domain(df: DataFrame, domain: Sequence[Term],
@@ -68,13 +68,13 @@ def apply_domain(df: DataFrame, domain: Sequence[Term],
 def search(df: DataFrame, domain: Sequence[Term], order: Sequence[str] | None = None,
            limit: int | None = None, relations=None, key: str = "id") -> DataFrame:
     """-> ids matching the domain.  Empty order / zero limit are omitted; a
-    limit without an order is rejected (it would be non-deterministic)."""
+    limit without an order takes the smallest keys."""
     out = apply_domain(df, domain, relations, key)
+    if limit and not order:
+        order = [key]
     if order:
         out = out.orderBy(*order_terms(order))
     if limit:
-        if not order:
-            raise ValueError("limit needs an order")
         out = out.limit(limit)
     return out.select(key)
 
@@ -83,19 +83,16 @@ def search_read(df: DataFrame, domain: Sequence[Term], fields: Sequence[str],
                 order: Sequence[str] | None = None, limit: int | None = None,
                 relations=None, key: str = "id") -> DataFrame:
     out = apply_domain(df, domain, relations, key)
+    if limit and not order:
+        order = [key]
     if order:
         out = out.orderBy(*order_terms(order))
     if limit:
-        if not order:
-            raise ValueError("limit needs an order")
         out = out.limit(limit)
     return out.select(*fields)
 
 
-def read_by_ids(df: DataFrame, ids: DataFrame, key: str = "id", broadcast_ids: bool = False) -> DataFrame:
-    """Records whose key is in ``ids``; ids that vanished return nothing.
-    ``broadcast_ids`` when the id set is a bounded batch (batch size)."""
+def read_by_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """Records whose key is in ``ids``; ids that vanished return nothing."""
     i = ids.select(F.col(key).alias("_want")).distinct()
-    if broadcast_ids:
-        i = F.broadcast(i)
     return df.join(i, df[key] == i["_want"], "left_semi")

@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators import transform as tr
 from strata.plans.runlog import RunLog, utc_now
@@ -29,7 +30,13 @@ def make_batch_writer(spark: SparkSession, module: str, layers: LayerPaths, tax:
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         run_id = runlog.start(module)
         try:
-            headers, lines, _rej = tr.transform(batch, tax(spark))
+            # one pass over the files: the micro-batch is kept until it is written
+            batch.persist()
+            broken = F.col(tr.CORRUPT).isNotNull() | tr.bad_cursor(batch)
+            unreadable = batch.filter(broken).count()
+            # the newest version per id in this micro-batch, of records that have lines
+            landed = tr.latest_landed(batch.filter(~broken)).filter(F.size("_lines") > 0)
+            headers, lines, _rej = tr.transform(landed, tax(spark))
             synced = clock()
             batch_id = f"{run_id}:{epoch_id}"
             n_h = sink.append(tr.stamp(headers, synced, batch_id), layers.bronze_moves, BRONZE_MOVE,
@@ -37,17 +44,20 @@ def make_batch_writer(spark: SparkSession, module: str, layers: LayerPaths, tax:
             sink.append(tr.stamp(lines, synced, batch_id), layers.bronze_lines, BRONZE_LINE, sink.LINE_CLUSTER)
             if fail_after_write and fail_after_write(epoch_id):
                 raise RuntimeError(f"injected failure after write of epoch {epoch_id}")
-            stats = batch.agg(
+            stats = landed.agg(
                 F.count(F.lit(1)).alias("n"),
                 F.max(tr.parse_naive_utc(F.col("write_date"))).alias("m"),
             ).first()
             prev = runlog.get_watermark(module)
             wm = stats["m"] if prev is None or (stats["m"] is not None and stats["m"] > prev) else prev
-            runlog.checkpoint(run_id, module, wm, stats["n"], n_h, stats["n"] - n_h)
+            processed = stats["n"] + unreadable
+            runlog.checkpoint(run_id, module, wm, processed, n_h, processed - n_h)
             runlog.finish(run_id, module, "success", wm)
         except Exception as exc:
-            runlog.finish(run_id, module, "failed", None, error_message=str(exc)[:2000])
+            runlog.finish(run_id, module, "failed", None, error_message=str(exc))
             raise
+        finally:
+            batch.unpersist()
 
     return write_batch
 
@@ -57,7 +67,8 @@ def run_landing_stream(spark: SparkSession, landing: str, checkpoint: str, modul
                        max_files_per_trigger: int = 100, runlog: RunLog | None = None,
                        clock: Callable[[], dt.datetime] = utc_now, fail_after_write=None) -> None:
     runlog = runlog or RunLog(spark, layers.run_events, clock=clock)
-    stream = (spark.readStream.schema(RAW_MOVE_NESTED).format(fmt)
+    schema = T.StructType([*RAW_MOVE_NESTED.fields, T.StructField(tr.CORRUPT, T.StringType())])
+    stream = (spark.readStream.schema(schema).format(fmt).option("columnNameOfCorruptRecord", tr.CORRUPT)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(landing))
     q = (stream.writeStream
          .foreachBatch(make_batch_writer(spark, module, layers, tax, runlog, clock, fail_after_write))

@@ -19,7 +19,7 @@ def test_prefix_max_matches_brute_force(spark):
     assert got.count() == 3000
 
 
-def test_hot_header_is_sliced_and_complete(spark):
+def test_hot_header_is_complete(spark):
     n_hot, n_other = 3000, 6000
     heads = spark.range(1, 3002).select(F.col("id"), F.lit("2024-01-01").alias("date"))
     raw_h = spark.createDataFrame([], RAW_MOVE).unionByName(
@@ -29,26 +29,26 @@ def test_hot_header_is_sliced_and_complete(spark):
     lines = hot.unionByName(other).select(
         "id", F.array(F.col("p").cast("string"), F.lit("x")).alias("move_id"))
     raw_l = spark.createDataFrame([], RAW_LINE).unionByName(lines, allowMissingColumns=True)
-    nested = tr.nest_lines(raw_h, raw_l, max_lines_per_record=500)
+    nested = tr.nest_lines(raw_h, raw_l)
     per = {r.id: (r.recs, r.n, r.biggest) for r in nested.groupBy("id").agg(
         F.count(F.lit(1)).alias("recs"), F.sum(F.size("_lines")).alias("n"),
         F.max(F.size("_lines")).alias("biggest")).collect()}
-    recs, n, biggest = per[1]
-    assert n == n_hot and recs >= 6 and biggest < 1000      # spread over slices, nothing lost
+    recs, n, _ = per[1]
+    assert n == n_hot and recs == 1      # one record per header, nothing lost
     assert sum(v[1] for v in per.values()) == n_hot + n_other
     parents = raw_l.select(tr.line_parent_id(raw_l).alias("account_move_id"))
     assert has_children(heads, parents).count() == 3001
 
 
-def test_sliced_header_transforms_once(spark):
+def test_hot_header_transforms_once(spark):
     from strata.schemas import TAX
 
     raw_h = spark.createDataFrame([], RAW_MOVE).unionByName(
         spark.range(1, 3).select("id", F.lit("2024-01-01").alias("date")), allowMissingColumns=True)
     lines = spark.range(0, 2500).select((F.col("id") + 100).alias("id"), F.array(F.lit("1"), F.lit("x")).alias("move_id"))
     raw_l = spark.createDataFrame([], RAW_LINE).unionByName(lines, allowMissingColumns=True)
-    nested = tr.nest_lines(raw_h, raw_l, max_lines_per_record=300)
-    assert nested.filter("id = 1").count() > 1  # the hot header is sliced
+    nested = tr.nest_lines(raw_h, raw_l)
+    assert nested.filter("id = 1").count() == 1
     heads, out, rej = tr.transform(nested, spark.createDataFrame([(1, 19.0)], TAX), tax_bounded=True)
     assert sorted(r.id for r in heads.collect()) == [1, 2]
     assert out.count() == 2500 and out.filter("account_move_id = 1 AND date = DATE'2024-01-01'").count() == 2500
