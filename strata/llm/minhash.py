@@ -10,7 +10,10 @@ sequences (optimal densification). Bands of the signature name buckets.
 In a bucket only star edges are drawn: one centre, chosen by an aggregate, to
 every other member, so a bucket of n members gives n - 1 pairs. Each edge is
 confirmed on the full shingle sets. Rounds follow with other centres, over the
-buckets that still hold several components, until rounds find no more links.
+buckets that still hold several components. A centre has met its whole bucket
+and leaves it; later rounds draw more centres at once, so a bucket is done when
+one component is left in it and no link between two members is missed. Pairs
+within a component, or of sizes too unequal to be linked, are never made.
 Components come from alternating large-star / small-star steps on the links.
 
 Defined results: null or wordless text has an empty set, is linked with
@@ -32,8 +35,6 @@ from strata.llm.common import (blocks, discard, grams, land, lower_az, mix, ragg
 BINS = 128
 BANDS = 32
 ROWS = BINS // BANDS
-#: Rounds without a new link after which the star rounds end.
-QUIET_ROUNDS = 2
 _PROBES = 4096
 #: Links that one task handles when components are made.
 LINKS_PER_TASK = 200_000
@@ -174,11 +175,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketch = land(pairs.mapInArrow(_sketch(shingle), f"_id {id_type}, n_shingles bigint, key1 bigint, key2 bigint, "
                                    "bands array<bigint>"), "minhash-sketch")
     full = sketch.where("n_shingles > 0 AND _id IS NOT NULL")
-    classes = land(full.groupBy("key1", "key2").agg(F.min(F.struct("_id", "bands")).alias("r"))
-                   .select("key1", "key2", F.col("r._id").alias("node"), F.col("r.bands").alias("bands")),
+    classes = land(full.groupBy("key1", "key2").agg(F.min(F.struct("_id", "n_shingles", "bands")).alias("r"))
+                   .select("key1", "key2", F.col("r._id").alias("node"), F.col("r.n_shingles").alias("n"),
+                           F.col("r.bands").alias("bands")),
                    "minhash-classes")
-    in_band = classes.select("node", F.explode("bands").alias("bucket"))
-    crowded = in_band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    in_band = classes.select("node", "n", F.explode("bands").alias("bucket"))
+    crowded = in_band.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("bucket")
     member = land(in_band.join(crowded, "bucket").distinct(), "minhash-buckets")
 
     label = None
@@ -201,43 +203,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) from links found by star edges in the buckets, with
-    another centre each round; buckets within one component are left out."""
+    other centres each round; buckets within one component are left out."""
     label = None  # of nodes that are not their component's smallest
     here = member.withColumn("c", F.col("node"))
-    tried = quiet = 0
+    tried = 0
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    while True:
-        rank = F.struct("node", "c") if tried == 0 else \
-            F.struct(F.xxhash64("node", "bucket", F.lit(tried)).alias("h"), "node", "c")
-        centre = here.groupBy("bucket").agg(F.min(rank).alias("r"), F.min("c").alias("lo"), F.max("c").alias("hi")) \
-            .where("lo <> hi").select("bucket", F.col("r.node").alias("a"), F.col("r.c").alias("ca"))
-        star = (here.join(centre, "bucket").where("c <> ca")
+    while not here.isEmpty():
+        # two rounds of one centre, then one for every slot of components and of their members
+        of_components = 4 ** max(0, min(tried - 1, 15))
+        slot = lambda c, n: F.pmod(F.xxhash64(c, F.lit(tried)), F.lit(n))
+        rank = F.struct("node", "c", "n") if tried == 0 else \
+            F.struct(F.xxhash64("node", F.lit(-tried)).alias("h"), "node", "c", "n")
+        centre = land(here.groupBy("bucket", slot("c", of_components).alias("s"),
+                                   slot("node", max(1, of_components // 4)).alias("t"))
+                      .agg(F.min(rank).alias("r"))
+                      .select("bucket", F.col("r.node").alias("a"), F.col("r.c").alias("ca"), F.col("r.n").alias("na")),
+                      "minhash-centres")
+        star = (here.join(centre, "bucket")
+                .where((F.col("c") != F.col("ca")) & (100 * F.least("n", "na") >= percent * F.greatest("n", "na")))
                 .select("a", "ca", F.col("node").alias("b"), F.col("c").alias("cb")).distinct())
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
         found = land(star.join(left, "a").join(right, "b").withColumn("common", common)
                      .where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common")))
                      .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "minhash-found")
         tried += 1
-        if found.isEmpty():
-            quiet += 1
-            if quiet >= QUIET_ROUNDS or here.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")) \
-                    .where("lo <> hi").isEmpty():
-                return label
-            continue
-        quiet = 0
-        merged = land(connected_components(found), "minhash-merged")
-        moved = merged.select(F.col("node").alias("c"), F.col("component").alias("to"))
-        if label is None:
-            label = merged
-        else:  # components that moved, and nodes that were their component's smallest
-            old = label.withColumnRenamed("component", "c").join(moved, "c", "left") \
-                .select("node", F.coalesce("to", "c").alias("component"))
-            label = land(old.union(merged), "minhash-label")
-        renamed = here.join(moved, "c", "left").select("bucket", "node", F.coalesce("to", "c").alias("c"))
-        mixed = renamed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")) \
+        rest = here.join(centre.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti")
+        if not found.isEmpty():
+            merged = land(connected_components(found), "minhash-merged")
+            moved = merged.select(F.col("node").alias("c"), F.col("component").alias("to"))
+            if label is None:
+                label = merged
+            else:  # components that moved, and nodes that were their component's smallest
+                old = label.withColumnRenamed("component", "c").join(moved, "c", "left") \
+                    .select("node", F.coalesce("to", "c").alias("component"))
+                label = land(old.union(merged), "minhash-label")
+            rest = rest.join(moved, "c", "left").select("bucket", "node", "n", F.coalesce("to", "c").alias("c"))
+        mixed = rest.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")) \
             .where("lo <> hi").select("bucket")
-        here = land(renamed.join(mixed, "bucket"), "minhash-round")
+        here = land(rest.join(mixed, "bucket").select("bucket", "node", "n", "c"), "minhash-round")
+    return label
 
 
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
