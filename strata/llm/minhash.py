@@ -14,7 +14,8 @@ buckets that still hold several components. A centre has met its whole bucket
 and leaves it; later rounds draw more centres at once, so a bucket is done when
 one component is left in it and no link between two members is missed. Pairs
 within a component, or of sizes too unequal to be linked, are never made.
-Components come from alternating large-star / small-star steps on the links.
+Components come from alternating large-star / small-star steps on the links
+of all rounds.
 
 Defined results: null or wordless text has an empty set, is linked with
 nothing and kept. A row without id takes part in nothing: its component is
@@ -203,20 +204,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) from links found by star edges in the buckets, with
-    other centres each round; buckets within one component are left out."""
-    label = None  # of nodes that are not their component's smallest
+    other centres each round. Between rounds a label hooks onto the smallest one
+    it is linked with (a finer grouping than components, so nothing is skipped);
+    components are made once, from the links of all rounds."""
     here = member.withColumn("c", F.col("node"))
-    tried = 0
+    links = None
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    while not here.isEmpty():
-        # two rounds of one centre, then one for every slot of components and of their members
-        of_components = 4 ** max(0, min(tried - 1, 15))
+    tried = 0
+    while True:
+        # two rounds of one centre, then one for every slot of labels and of their members
+        slots = 16 ** max(0, min(tried - 1, 7))
         slot = lambda c, n: F.pmod(F.xxhash64(c, F.lit(tried)), F.lit(n))
         rank = F.struct("node", "c", "n") if tried == 0 else \
             F.struct(F.xxhash64("node", F.lit(-tried)).alias("h"), "node", "c", "n")
-        centre = land(here.groupBy("bucket", slot("c", of_components).alias("s"),
-                                   slot("node", max(1, of_components // 4)).alias("t"))
+        centre = land(here.groupBy("bucket", slot("c", slots).alias("s"), slot("node", max(1, slots // 4)).alias("t"))
                       .agg(F.min(rank).alias("r"))
                       .select("bucket", F.col("r.node").alias("a"), F.col("r.c").alias("ca"), F.col("r.n").alias("na")),
                       "minhash-centres")
@@ -226,23 +228,23 @@ def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
         found = land(star.join(left, "a").join(right, "b").withColumn("common", common)
                      .where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common")))
-                     .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "minhash-found")
-        tried += 1
+                     .select(F.col("ca").alias("a"), F.col("cb").alias("b")), "minhash-found")
         rest = here.join(centre.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti")
         if not found.isEmpty():
-            merged = land(connected_components(found), "minhash-merged")
-            moved = merged.select(F.col("node").alias("c"), F.col("component").alias("to"))
-            if label is None:
-                label = merged
-            else:  # components that moved, and nodes that were their component's smallest
-                old = label.withColumnRenamed("component", "c").join(moved, "c", "left") \
-                    .select("node", F.coalesce("to", "c").alias("component"))
-                label = land(old.union(merged), "minhash-label")
-            rest = rest.join(moved, "c", "left").select("bucket", "node", "n", F.coalesce("to", "c").alias("c"))
+            links = found if links is None else links.union(found)
+            hook = land(found.groupBy(F.greatest("a", "b").alias("c")).agg(F.min(F.least("a", "b")).alias("to")),
+                        "minhash-hooks")
+            further = hook.select(F.col("c").alias("to"), F.col("to").alias("on"))
+            hook = hook.join(further, "to", "left").select("c", F.coalesce("on", "to").alias("to"))
+            rest = rest.join(hook, "c", "left").select("bucket", "node", "n", F.coalesce("to", "c").alias("c"))
         mixed = rest.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")) \
             .where("lo <> hi").select("bucket")
-        here = land(rest.join(mixed, "bucket").select("bucket", "node", "n", "c"), "minhash-round")
-    return label
+        done, here = here, land(rest.join(mixed, "bucket").select("bucket", "node", "n", "c"), "minhash-round")
+        discard(done)
+        discard(centre)
+        tried += 1
+        if here.isEmpty():
+            return None if links is None else connected_components(links)
 
 
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
