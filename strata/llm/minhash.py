@@ -13,7 +13,8 @@ confirmed on the full shingle sets. Rounds follow with other centres, over the
 buckets that still hold several components. A centre has met its whole bucket
 and leaves it; later rounds draw more centres at once, so a bucket is done when
 one component is left in it and no link between two members is missed. Pairs
-within a component, or of sizes too unequal to be linked, are never made.
+within a component, or of sizes too unequal to be linked, are never made, and
+pairs whose bitmaps differ too much for a link are not intersected.
 Components come from alternating large-star / small-star steps on the links
 of all rounds.
 
@@ -37,6 +38,8 @@ BINS = 128
 BANDS = 32
 ROWS = BINS // BANDS
 _PROBES = 4096
+#: 64-bit words of a set's bitmap (1,024 bits, named by ten bits of a shingle's hash).
+BIT_WORDS = 16
 #: Links that one task handles when components are made.
 LINKS_PER_TASK = 200_000
 
@@ -125,9 +128,14 @@ def _sets(shingle: int):
         for batch in batches:
             for lo, hi, data, offsets in blocks(batch.column("_text")):
                 value, size = shingle_sets(data, offsets, shingle)
+                owner, place = np.repeat(np.arange(hi - lo), size), value >> np.uint64(54)
+                bits = np.zeros((hi - lo, BIT_WORDS), dtype=np.uint64)
+                np.bitwise_or.at(bits, (owner, (place >> np.uint64(6)).astype(np.int64)),
+                                 np.uint64(1) << (place & np.uint64(63)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").slice(lo, hi - lo), ragged(value.view(np.int64), size, pa.int64())],
-                    names=["node", "shingles"])
+                    [batch.column("_id").slice(lo, hi - lo), ragged(value.view(np.int64), size, pa.int64()),
+                     ragged(bits.reshape(-1).view(np.int64), np.full(hi - lo, BIT_WORDS), pa.int64())],
+                    names=["node", "shingles", "bits"])
     return run
 
 
@@ -188,7 +196,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not member.isEmpty():
         nodes = member.select("node").distinct()
         wanted = pairs.join(nodes, F.col("_id") == F.col("node"), "left_semi")
-        sets = land(wanted.mapInArrow(_sets(shingle), f"node {id_type}, shingles array<bigint>"), "minhash-sets")
+        sets = land(wanted.mapInArrow(_sets(shingle), f"node {id_type}, shingles array<bigint>, bits array<bigint>"), "minhash-sets")
         label = _star_rounds(member, sets, percent)
     named = sketch.join(classes.select("key1", "key2", "node"), ["key1", "key2"], "left")
     if label is None:
@@ -209,8 +217,12 @@ def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     components are made once, from the links of all rounds."""
     here = member.withColumn("c", F.col("node"))
     links = None
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("bits").alias("xa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("bits").alias("xb"))
+    # bits that differ stand for as many shingles that differ at least, so this test loses no link
+    differ = sum((F.bit_count(F.col("xa")[i].bitwiseXOR(F.col("xb")[i])) for i in range(BIT_WORDS)), F.lit(0))
+    likely = differ * (100 + percent) <= (100 - percent) * (F.size("sa") + F.size("sb"))
+    common = F.when(likely, F.size(F.array_intersect("sa", "sb")).cast("long"))
     tried = 0
     while True:
         # two rounds of one centre, then one for every slot of labels and of their members
@@ -225,7 +237,6 @@ def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         star = (here.join(centre, "bucket")
                 .where((F.col("c") != F.col("ca")) & (100 * F.least("n", "na") >= percent * F.greatest("n", "na")))
                 .select("a", "ca", F.col("node").alias("b"), F.col("c").alias("cb")).distinct())
-        common = F.size(F.array_intersect("sa", "sb")).cast("long")
         found = land(star.join(left, "a").join(right, "b").withColumn("common", common)
                      .where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common")))
                      .select(F.col("ca").alias("a"), F.col("cb").alias("b")), "minhash-found")
