@@ -38,6 +38,8 @@ BINS = 128
 BANDS = 32
 ROWS = BINS // BANDS
 _PROBES = 4096
+#: Rounds in which a bucket has a single centre.
+ONE_CENTRE = 4
 #: 64-bit words of a set's bitmap (1,024 bits, named by ten bits of a shingle's hash).
 BIT_WORDS = 16
 #: Links that one task handles when components are made.
@@ -225,11 +227,11 @@ def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     common = F.when(likely, F.size(F.array_intersect("sa", "sb")).cast("long"))
     tried = 0
     while True:
-        # two rounds of one centre, then one for every slot of labels and of their members
-        slots = 16 ** max(0, min(tried - 1, 7))
+        # rounds of one centre, another in each bucket; then one for every slot of labels and of their members
+        slots = 8 ** max(0, min(tried - ONE_CENTRE + 1, 9))
         slot = lambda c, n: F.pmod(F.xxhash64(c, F.lit(tried)), F.lit(n))
         rank = F.struct("node", "c", "n") if tried == 0 else \
-            F.struct(F.xxhash64("node", F.lit(-tried)).alias("h"), "node", "c", "n")
+            F.struct(F.xxhash64("node", F.lit(-tried), *([] if slots > 1 else ["bucket"])).alias("h"), "node", "c", "n")
         centre = land(here.groupBy("bucket", slot("c", slots).alias("s"), slot("node", max(1, slots // 4)).alias("t"))
                       .agg(F.min(rank).alias("r"))
                       .select("bucket", F.col("r.node").alias("a"), F.col("r.c").alias("ca"), F.col("r.n").alias("na")),
@@ -245,8 +247,9 @@ def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             links = found if links is None else links.union(found)
             hook = land(found.groupBy(F.greatest("a", "b").alias("c")).agg(F.min(F.least("a", "b")).alias("to")),
                         "minhash-hooks")
-            further = hook.select(F.col("c").alias("to"), F.col("to").alias("on"))
-            hook = hook.join(further, "to", "left").select("c", F.coalesce("on", "to").alias("to"))
+            for _ in range(2):  # labels along four hooks
+                further = hook.select(F.col("c").alias("to"), F.col("to").alias("on"))
+                hook = hook.join(further, "to", "left").select("c", F.coalesce("on", "to").alias("to"))
             rest = rest.join(hook, "c", "left").select("bucket", "node", "n", F.coalesce("to", "c").alias("c"))
         mixed = rest.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")) \
             .where("lo <> hi").select("bucket")
