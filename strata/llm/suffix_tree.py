@@ -1,31 +1,36 @@
-"""Probabilistic suffix tree over the bytes of words, scoring whole texts.
-
-A text is its words and one end mark. The tree spells each word as its bytes
-between a start and an end-of-word mark; the context of a byte is a suffix of
-what the word has shown so far, so the memory starts anew with each word and a
-word has one probability. The end mark is spelled at a word's start.
-
-Learning counts (context, next symbol) over the distinct training words, for
-contexts up to ``depth`` bytes. A context is a candidate when it makes up at
-least ``least_mass`` of all symbol places, so there are at most ``depth /
-least_mass`` of them whatever the corpus holds: that bound is what lets the
-tree go to every task. A candidate is retained when its next-symbol
-distribution diverges from its parent's (the context without its first byte)
-by at least ``divergence`` nats; suffixes of a retained context are retained
-too. Distributions are smoothed towards the parent's with weight
-``smoothing``, the root's towards the uniform one. Scoring finds each place's
-longest retained suffix.
-
-A word seen in training is itself the longest context of its end: its count,
-less ``discount``, gives its probability directly, and the discounted mass goes
-to the spelling tree. So P(word) = max(c - discount, 0) / N + discount * V / N *
-P(spelling), a distribution over all words, seen or not, and a text's score is
-the log10 of the product over its words and its end mark.
-
-Corpus counts and lookups go by distinct word. Documents are first packed into
-blocks of about ``BLOCK`` bytes (a longer document is a block of its own); a
-block sends its distinct words to the count and gets their counts and scores
-back, so frequent words cost one row per block, not one per occurrence.
+"""Probabilistic suffix tree over the tokens of texts, scoring whole texts.
+
+A text is its words and one end mark, after a start mark that is never
+predicted. The context of a token is a suffix of what stands before it in the
+text, up to ``depth`` tokens (the start mark counts as one), so a score depends
+on the order of the words.
+
+Learning counts (context, next token) over every training token, level by
+level. A context is a candidate when it occurs ``least_count`` times in the
+training texts, an absolute number, so what is kept on a small input is kept on
+a larger one and the tree grows with the corpus. A candidate is retained when
+its next-token distribution diverges from its parent's (the context without its
+first token) by at least ``divergence`` nats; suffixes of a retained context
+are retained too. Every token is scored by its longest retained suffix x with
+P(w | x) = max(n(xw) - discount, 0) / n(x) + discount * kinds(x) / n(x) *
+P(w | parent of x). The root does the same with the counts of single words and
+gives its discounted mass to the spelling, so all texts share one unit of
+probability.
+
+The spelling is a suffix tree too, over the bytes of a word between a start and
+an end mark. It is only what an unseen word falls back to, so it counts each
+distinct training word once, as a new word would come. Its contexts of up to
+``spelling_depth`` bytes are retained by the same absolute count and divergence,
+and smoothed towards the parent's with weight ``smoothing``, the root's towards
+the uniform one.
+
+No state passes through the driver. Documents are first packed into blocks of
+about ``BLOCK`` bytes (a longer document is a block of its own). A block sends
+its distinct words and, for each level, its distinct (context, token) pairs to
+the count and gets back the counts, and what is retained of its own contexts:
+frequent words and pairs cost one row per block, not one per occurrence. Pairs
+and contexts go by 64-bit hashes of their words. The spelling's states are
+joined by context to buckets of distinct words in the same way.
 
 Defined results: null text is empty (one token, the end mark). Repeated rows
 count as often as they occur. With nothing to train on, all counts are zero and
@@ -41,13 +46,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_view, land, ship
+from strata.llm.common import byte_view, discard, grams, land, mix, ship, whole_grams, word_hashes
 
 BLOCK = 8 << 20
 START, WORD_END, TEXT_END = 0xFF, 0xFE, 0xFD  # bytes that UTF-8 never uses
 SYMBOLS = 256
 #: Bytes of distinct words counted together inside a task.
 _BATCH_BYTES = 4 << 20
+#: Distinct words spelled together in a task.
+BUCKET_WORDS = 20_000
+#: Hashes of the end mark and of the start mark, and the start mark's name (no word has a space).
+_MARKS = mix(np.array([0xE0D, 0x57A27], dtype=np.uint64))
+_START_NAME = " "
+#: Level numbers of retained contexts begin here in what a block gets back.
+_RETAINED = 100
 
 
 def crc_held_out(id_col: str, folds: int = 7, fold: int = 2) -> Column:
@@ -105,6 +117,12 @@ def _numbered(words: list[list[bytes]]) -> dict[bytes, int]:
     return number
 
 
+def _hashes(number: dict[bytes, int]) -> np.ndarray:
+    """Hash of each numbered word, then of the start mark."""
+    data, offsets = byte_view(pa.array(list(number), pa.binary()))
+    return np.concatenate([_MARKS[:1], word_hashes(data, offsets[1:-1], offsets[2:]), _MARKS[1:]])
+
+
 def _count_words(batches):
     for batch in batches:
         for block, packed in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist()):
@@ -118,13 +136,15 @@ def _count_words(batches):
                 total += np.bincount(np.fromiter(map(number.__getitem__, seen), np.int64, len(seen)),
                                      minlength=len(number))
             del seen, words
+            key = _hashes(number)  # the start mark comes last
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(number), block)), pa.array(np.arange(len(number), dtype=np.int32)),
-                 pa.array(list(number), pa.binary()).cast(pa.string()), pa.array(total)],
-                names=["block", "number", "word", "n"])
+                [pa.array(np.full(len(key), block)), pa.array(np.arange(len(key), dtype=np.int32)),
+                 pa.array([*number, _START_NAME.encode()], pa.binary()).cast(pa.string()),
+                 pa.array(np.append(total, total[0])), pa.array(key.view(np.int64))],
+                names=["block", "number", "word", "n", "key"])
 
 
-# -- the tree -----------------------------------------------------------------------
+# -- the spelling -------------------------------------------------------------------
 
 
 def _spelled(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,16 +220,18 @@ def _key(context: Column, depth: Column) -> Column:
 class Tree:
     """Retained contexts by depth, with smoothed log10 distributions."""
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, depth: int, smoothing: float):
-        """codes: context and symbol (leading number: depth + 1) of retained contexts."""
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, totals: np.ndarray, depth: int, smoothing: float):
+        """codes: context and symbol (leading number: depth + 1) of retained contexts; counts of
+        both together, totals of the context. It may be any part of a tree that holds with a
+        code its shorter ones."""
         self.states, self.entries = [], []
         for d in range(depth + 1):
             low = (d + 1) << 8 * (d + 1)
             mine = (codes >= low) & (codes < low + (1 << 8 * (d + 1)))
             order = np.argsort(codes[mine])
             code, n = codes[mine][order] - low, counts[mine][order].astype(float)
-            context, inverse = np.unique(code >> 8, return_inverse=True)
-            total = np.bincount(inverse, weights=n, minlength=len(context))
+            context, at, inverse = np.unique(code >> 8, return_index=True, return_inverse=True)
+            total = totals[mine][order][at].astype(float)
             backoff = smoothing / (total + smoothing)
             if d == 0:
                 below = np.full(len(code), 1.0 / SYMBOLS)
@@ -254,23 +276,23 @@ class Tree:
         return np.bincount(owner, weights=value, minlength=len(words)) + total
 
 
-def learn(words: DataFrame, depth: int = 4, least_mass: float = 1e-5, divergence: float = 0.01,
-          smoothing: float = 2.0) -> Tree:
-    """The tree of a frame of distinct words (column ``word``). What comes to the driver is
-    bounded by ``depth / least_mass`` contexts of at most 256 symbols."""
+def contexts(words: DataFrame, depth: int = 4, least_mass: float = 0.0, divergence: float = 0.01,
+             least_count: int = 4) -> DataFrame:
+    """The spelling of a frame of distinct words (column ``word``): code, n, key and total of every
+    (context, symbol) of the retained contexts. ``least_mass`` may ask for a share of all places too."""
     if depth > 6:
         raise ValueError("a context and its symbol must fit in 56 bits")
-    grams = land(words.select("word").mapInArrow(_count_contexts(depth), "code bigint, n bigint")
+    landed = land(words.select("word").mapInArrow(_count_contexts(depth), "code bigint, n bigint")
                  .groupBy("code").agg(F.sum("n").alias("n")), "pst-contexts")
     code = F.col("code")
     d = _depth_of(code, depth)
     body = code - (d + 1) * _bytes(d + 1)
-    grams = grams.withColumn("d", d).withColumn("symbol", body.bitwiseAND(F.lit(255))) \
+    grams = landed.withColumn("d", d).withColumn("symbol", body.bitwiseAND(F.lit(255))) \
         .withColumn("context", F.shiftright(body, 8)) \
         .withColumn("key", _key(F.col("context"), F.col("d")))
     places = grams.where("d = 0").agg(F.sum("n")).first()[0] or 0
     totals = grams.groupBy("key", "d", "context").agg(F.sum("n").alias("total")) \
-        .where(F.col("total") >= least_mass * places)
+        .where((F.col("d") == 0) | (F.col("total") >= max(least_mass * places, least_count)))
     candidate = land(grams.join(totals.select("key", "total"), "key"), "pst-candidates")
     tail = F.col("context").bitwiseAND(_bytes(F.col("d") - 1) - 1)
     child = candidate.where("d > 0").withColumn("parent", _key(tail, F.col("d") - 1))
@@ -283,60 +305,157 @@ def learn(words: DataFrame, depth: int = 4, least_mass: float = 1e-5, divergence
         _bytes(k) - 1) + _bytes(k))
     closed = kept.select(F.explode(suffixes).alias("key")).distinct() \
         .union(candidate.where("d = 0").select("key").distinct()).distinct()
-    found = candidate.join(closed, "key", "left_semi").select("code", "n").toArrow()
-    return Tree(found.column("code").to_numpy(), found.column("n").to_numpy(), depth, smoothing)
+    found = land(candidate.join(closed, "key", "left_semi").select("code", "n", "key", "total"), "pst-spelling")
+    discard(candidate)
+    discard(landed)
+    return found
 
 
-# -- scoring --------------------------------------------------------------------------
+def learn(words: DataFrame, depth: int = 4, least_mass: float = 0.0, divergence: float = 0.01,
+          smoothing: float = 2.0, least_count: int = 1) -> Tree:
+    """The whole spelling tree of a small frame of distinct words, on the driver."""
+    found = contexts(words, depth, least_mass, divergence, least_count).toArrow()
+    return Tree(*(found.column(c).to_numpy() for c in ("code", "n", "total")), depth, smoothing)
 
 
-def _score_words(shared, n_all: int, n_distinct: int, discount: float):
-    spread = discount * n_distinct / n_all if n_all else 1.0
+def _wanted_codes(depth: int):
+    def run(table: pa.Table) -> pa.Table:
+        symbols, place, _ = _spelled(*byte_view(table.column("word")))
+        code = np.concatenate([np.unique(_codes(symbols, place, d)) for d in range(depth + 1)])
+        bucket = table.column("bucket")[0].as_py()
+        return pa.table({"bucket": pa.array(np.full(len(code), bucket)), "code": pa.array(code)})
+    return run
 
-    def run(batches):
-        tree = shared.value
-        for batch in batches:
-            coded = batch.column("word").dictionary_encode()
-            value = tree.score(coded.dictionary)[coded.indices.to_numpy()] if batch.num_rows else np.zeros(0)
-            c = batch.column("c").to_numpy()
-            known = np.maximum(c - discount, 0.0) / max(n_all, 1)
-            # log10(known + spread * 10 ** value), also where 10 ** value is too small for a float
-            value = np.where(c > 0, np.log10(np.maximum(known, 1e-300) + spread * 10.0 ** value),
-                             np.log10(spread) + value)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("number"), batch.column("c"),
-                                              pa.array(value)], names=["block", "number", "c", "logp"])
+
+def _spell(depth: int, smoothing: float):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        tree = Tree(*(right.column(c).to_numpy() for c in ("code", "n", "total")), depth, smoothing)
+        return pa.table({"word": left.column("word"), "spelled": pa.array(tree.score(left.column("word")))})
+    return run
+
+
+def spell(vocabulary: DataFrame, states: DataFrame, n_words: int, depth: int, smoothing: float) -> DataFrame:
+    """(word, spelled): log10 probability of each distinct word's bytes. Buckets of
+    words fetch the states of their own contexts."""
+    words = vocabulary.select("word", F.pmod(F.xxhash64("word"), F.lit(1 + n_words // BUCKET_WORDS)).alias("bucket"))
+    code = F.col("code")
+    d = _depth_of(code, depth)
+    wanted = words.groupBy("bucket").applyInArrow(_wanted_codes(depth), "bucket bigint, code bigint") \
+        .withColumn("key", _key(F.shiftright(code - (d + 1) * _bytes(d + 1), 8), d))
+    got = wanted.join(states.select("key", "total").distinct(), "key") \
+        .join(states.select("code", "n"), "code", "left") \
+        .select("bucket", "code", F.coalesce("n", F.lit(0)).alias("n"), "total")
+    return words.groupBy("bucket").cogroup(got.groupBy("bucket")).applyInArrow(
+        _spell(depth, smoothing), "word string, spelled double")
+
+
+# -- the tree -------------------------------------------------------------------------
+
+
+class _Block:
+    """Tokens of one block's texts in a row, with the counts that came back for them."""
+
+    def __init__(self, packed: bytes, back: pa.Table):
+        self.table, words = _texts(packed)
+        number = _numbered(words)
+        h = _hashes(number)
+        start = len(number)
+        self.size = np.array([len(w) + 1 for w in words], np.int64)
+        self.token = np.fromiter((x for text in words for x in (start, *map(number.__getitem__, text), 0)), np.int64,
+                                 int(self.size.sum() + len(words)))
+        self.doc = np.repeat(np.arange(len(words)), self.size + 1)
+        self.hash = h[self.token]
+        self.level = back.column("level").to_numpy()
+        self.key, self.n = back.column("key").to_numpy(), back.column("n").to_numpy()
+        root = self.level == 0
+        self.c = np.zeros(start + 1, dtype=np.int64)
+        self.c[self.key[root]] = self.n[root]
+        self.c[start] = self.c[0]  # each text has a start and an end
+        self.logp = np.zeros(start + 1)
+        self.logp[self.key[root]] = back.column("logp").to_numpy()[root]
+        self.counts = {1: self.c[self.token]}
+
+    def keys(self, k: int) -> np.ndarray:
+        """Hash of the k tokens from each place on."""
+        return (self.hash if k == 1 else grams(self.hash, k, 40 + k)).view(np.int64)
+
+    def returned(self, level: int, key: np.ndarray) -> np.ndarray:
+        """What came back for each key on this level (0 where nothing did)."""
+        mine = self.level == level
+        order = np.argsort(self.key[mine])
+        known, n = self.key[mine][order], self.n[mine][order]
+        if not len(known):
+            return np.zeros(len(key), dtype=np.int64)
+        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        return np.where(known[at] == key, n[at], 0)
+
+    def count(self, k: int) -> np.ndarray:
+        """Training count of the k tokens from each place on (0 where they leave the text)."""
+        if k not in self.counts:
+            at, out = whole_grams(self.doc, k), np.zeros(len(self.token), dtype=np.int64)
+            out[at] = self.returned(k - 1, self.keys(k)[at])
+            self.counts[k] = out
+        return self.counts[k]
+
+
+def _pairs(d: int, least_count: int):
+    """Distinct (context of d tokens, token) of a block whose context is a candidate, with the
+    token's count after the parent."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for block, packed in zip(left.column("block").to_pylist(), left.column("packed").to_pylist()):
+            b = _Block(packed, right)
+            at = whole_grams(b.doc, d + 1)
+            at = at[b.count(d)[at] >= least_count]
+            key, first, inverse = np.unique(b.keys(d + 1)[at], return_index=True, return_inverse=True)
+            train = np.logical_not(b.table.column("_held_out").to_numpy())
+            n = np.bincount(inverse, weights=train[b.doc[at]], minlength=len(key)).astype(np.int64)
+            at = at[first]
+            out.append(pa.table({
+                "block": pa.array(np.full(len(at), block)), "key": pa.array(key), "n": pa.array(n),
+                "context": pa.array(b.keys(d)[at]), "below": pa.array(b.count(d)[at + 1]),
+                "parent": pa.array(b.keys(d - 1)[at + 1] if d > 1 else np.zeros(len(at), np.int64))}))
+        return pa.concat_tables(out)
     return run
 
 
-def _score_block(n_all: int, n_distinct: int, id_type: pa.DataType):
+def _score_block(n_all: int, n_distinct: int, depth: int, discount: float, id_type: pa.DataType):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        number_of = right.column("number").to_numpy()
-        c = np.zeros(len(number_of), dtype=np.int64)
-        logp = np.zeros(len(number_of))
-        c[number_of] = right.column("c").to_numpy()
-        logp[number_of] = right.column("logp").to_numpy()
-        base = np.log10((c + 1) / (n_all + n_distinct + 1))
         out = []
         for packed in left.column("packed").to_pylist():
-            table, words = _texts(packed)
-            number = _numbered(words)
-            rows = np.zeros((3, len(words)))
-            for i, text in enumerate(words):
-                at = np.fromiter(map(number.__getitem__, text), np.int64, len(text))
-                rows[:, i] = (np.count_nonzero(c[at]) + (c[0] > 0), base[at].sum() + base[0],
-                              logp[at].sum() + logp[0])
-            n = len(words)
+            b = _Block(packed, right)
+            base = np.log10((b.c + 1) / (n_all + n_distinct + 1))
+            logp = b.logp[b.token]
+            for d in range(1, depth + 1):
+                at = whole_grams(b.doc, d + 1)
+                kinds = b.returned(_RETAINED + d, b.keys(d)[at])
+                at, kinds = at[kinds > 0], kinds[kinds > 0]
+                total, n, below = b.count(d)[at], b.count(d + 1)[at], logp[at + d]
+                spread = discount * kinds / total
+                # also where 10 ** below is too small for a float
+                logp[at + d] = np.where(n > 0, np.log10(np.maximum(n - discount, 1e-300) / total
+                                                        + spread * 10.0 ** below), np.log10(spread) + below)
+            seen = np.flatnonzero(b.token < len(b.c) - 1)  # all but the start marks
+            doc, m = b.doc[seen], len(b.size)
+            token = b.token[seen]
+            per_text = lambda x: np.bincount(doc, weights=x, minlength=m)
             out.append(pa.table({
-                "_id": table.column("_id").cast(id_type), "held_out": table.column("_held_out"),
-                "n_tokens": pa.array(np.array([len(w) + 1 for w in words], np.int64)),
-                "n_known": pa.array(rows[0].astype(np.int64)), "train_tokens": pa.array(np.full(n, n_all, np.int64)),
-                "base_score": pa.array(rows[1]), "score": pa.array(rows[2])}))
+                "_id": b.table.column("_id").cast(id_type), "held_out": b.table.column("_held_out"),
+                "n_tokens": pa.array(b.size), "n_known": pa.array(per_text(b.c[token] > 0).astype(np.int64)),
+                "train_tokens": pa.array(np.full(m, n_all, np.int64)),
+                "base_score": pa.array(per_text(base[token])), "score": pa.array(per_text(logp[seen]))}))
         return pa.concat_tables(out)
     return run
 
 
+def _release(spark) -> None:
+    """Spark deletes the shuffle files of finished steps when the driver's heap is collected."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    held_out: Column | None = None, discount: float = 0.75, **tree) -> DataFrame:
+                    held_out: Column | None = None, discount: float = 0.75, depth: int = 2, least_count: int = 4,
+                    divergence: float = 0.01, spelling_depth: int = 4, smoothing: float = 2.0) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigrams) and score (the suffix tree). Rows for which
     ``held_out`` is true are not learnt from."""
@@ -346,18 +465,59 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).alias("_id"), held.alias("_held_out"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     packed = land(rows.mapInArrow(_pack, "block bigint, packed binary"), "pst-blocks")
-    by_word = Window.partitionBy("word")
-    counts = land(packed.mapInArrow(_count_words, "block bigint, number int, word string, n bigint")
+    by_word, by_key = Window.partitionBy("word"), Window.partitionBy("key")
+    counts = land(packed.mapInArrow(_count_words, "block bigint, number int, word string, n bigint, key bigint")
                   .withColumn("c", F.sum("n").over(by_word))
-                  .withColumn("lead", F.row_number().over(by_word.orderBy("block")) == 1).drop("n"), "pst-words")
-    known = counts.where("lead AND c > 0")
-    n_all, n_distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    shared = spark.sparkContext.broadcast(learn(known, **tree))
-    scored = counts.select("block", "number", "word", "c").mapInArrow(
-        _score_words(shared, int(n_all), int(n_distinct), discount), "block bigint, number int, c bigint, logp double")
+                  .withColumn("lead", F.min("block").over(by_word) == F.col("block")).drop("n"), "pst-words")
+    words = counts.where(F.col("word") != _START_NAME)
+    vocabulary = words.where("lead")
+    known = vocabulary.where("c > 0")
+    n_all, n_distinct = map(int, known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first())
+    states = contexts(known, spelling_depth, 0.0, divergence, least_count)
+    _release(spark)
+    spelled = spell(vocabulary, states, vocabulary.count(), spelling_depth, smoothing)
+    spread = discount * n_distinct / n_all if n_all else 1.0
+    logp = F.when(F.col("c") > 0, F.log10((F.col("c") - discount) / max(n_all, 1)
+                                          + spread * F.pow(F.lit(10.0), F.col("spelled")))) \
+        .otherwise(float(np.log10(spread)) + F.col("spelled"))
+    none = F.lit(None).cast("double").alias("logp")
+    back = land(words.join(spelled, "word").select("block", F.lit(0).alias("level"), F.col("number").cast("long").alias("key"),
+                                                   F.col("c").alias("n"), logp.alias("logp")), "pst-root")
+    discard(states)
+    _release(spark)
+    levels = {0: counts.select("block", "key", F.col("c").alias("n"))}
+    found = {}
+    for d in range(1, depth + 1):
+        level = land(packed.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+            _pairs(d, least_count), "block bigint, key bigint, n bigint, context bigint, below bigint, parent bigint")
+            .withColumn("n", F.sum("n").over(by_key))
+            .withColumn("lead", F.min("block").over(by_key) == F.col("block")).where("n > 0"), f"pst-level-{d}")
+        levels[d] = level.select("block", "key", "n")
+        # each occurrence of a context in training has one next token, so its pairs add up to its count
+        shares = level.where("lead").groupBy("context", "parent").agg(
+            (F.sum(F.col("n") * F.log(F.col("n") / F.col("below"))) / F.sum("n") - F.log(F.sum("n"))).alias("kl"),
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        if d == 1:
+            shares = shares.withColumn("kl", F.col("kl") + F.log(F.lit(float(max(n_all, 1)))))
+        else:
+            above = found[d - 1].select(F.col("context").alias("parent"), F.col("total").alias("above"))
+            shares = shares.join(above, "parent").withColumn("kl", F.col("kl") + F.log("above")).drop("above")
+        found[d] = land(shares.select("context", "parent", "kl", "total", "kinds"), f"pst-contexts-{d}")
+        _release(spark)
+        back = back.union(level.select("block", F.lit(d), "key", "n", none))
+    kept = None
+    for d in range(depth, 0, -1):
+        own = found[d].where(F.col("kl") >= divergence)
+        if kept is not None:  # suffixes of what is retained
+            longer = kept.select(F.col("parent").alias("context")).distinct()
+            own = own.unionByName(found[d].where(F.col("kl") < divergence).join(longer, "context", "left_semi"))
+        kept = own
+        back = back.union(levels[d - 1].where(F.col("n") >= least_count)
+                          .join(kept.select(F.col("context").alias("key"), "kinds"), "key")
+                          .select("block", F.lit(_RETAINED + d), "key", "kinds", none))
     from pyspark.sql.pandas.types import to_arrow_type
 
     schema = (f"_id {kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
               "base_score double, score double")
-    return packed.groupBy("block").cogroup(scored.groupBy("block")).applyInArrow(
-        _score_block(int(n_all), int(n_distinct), to_arrow_type(kind)), schema).withColumnRenamed("_id", id_col)
+    return packed.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+        _score_block(n_all, n_distinct, depth, discount, to_arrow_type(kind)), schema).withColumnRenamed("_id", id_col)

@@ -5,7 +5,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import bpe, minhash, packing, queries, rlz, rules, secrets, suffix_tree, toxicity, voronoi
 from strata.llm.common import documents
@@ -82,6 +84,54 @@ def test_tree_is_a_distribution_and_learns(spark):
     assert likely > odd
 
 
+def test_suffix_tree_contexts_cross_words(spark):
+    """A score depends on the order of known words, and equals the interpolation worked out in plain Python."""
+    train = [(i, "the red fox ran home") for i in range(20)] + [(100 + i, "a fox saw the red sun") for i in range(20)]
+    new = [(1000, "the red fox"), (1001, "fox the red")]
+    docs = spark.createDataFrame(train + new, "doc_id long, text string")
+    got = rows(suffix_tree.score_documents(docs, held_out=F.col("doc_id") >= 1000))
+    assert got[1000]["score"] > got[1001]["score"] + 1
+
+    texts = [["<"] + t.split() + [">"] for _, t in train]
+    n = Counter(tuple(t[i:i + k]) for t in texts for k in (1, 2, 3) for i in range(len(t) - k + 1))
+    single = {g[0]: c for g, c in n.items() if len(g) == 1 and g != ("<",)}
+    tree = suffix_tree.learn(spark.createDataFrame([(w if w != ">" else "",) for w in single], "word string"),
+                             least_count=4)
+    total = sum(single.values())
+
+    def follow(x):
+        return {g[-1]: c for g, c in n.items() if g[:-1] == x and len(g) == len(x) + 1}
+
+    def gain(x):
+        up = single if len(x) == 1 else follow(x[1:])
+        return sum(c / n[x] * math.log(c / n[x] * sum(up.values()) / up[w]) for w, c in follow(x).items())
+
+    def chance(w, x):
+        if not x:
+            spelled = 10.0 ** tree.score(pa.array([w if w != ">" else ""]))[0]
+            return max(single.get(w, 0) - 0.75, 0) / total + 0.75 * len(single) / total * spelled
+        low = chance(w, x[1:])
+        longer = any(len(g) == 2 and g[1:] == x and n[g] >= 4 and gain(g) >= 0.01 for g in n)
+        if n[x] < 4 or not (gain(x) >= 0.01 or longer):
+            return low
+        return max(follow(x).get(w, 0) - 0.75, 0) / n[x] + 0.75 * len(follow(x)) / n[x] * low
+
+    for i, t in new:
+        t = ["<"] + t.split() + [">"]
+        want = sum(math.log10(chance(t[j], tuple(t[max(0, j - 2):j]))) for j in range(1, len(t)))
+        assert got[i]["score"] == pytest.approx(want)
+
+
+def test_suffix_tree_keeps_by_count(spark):
+    """A context seen often enough on a small input is kept on a larger one."""
+    few = [f"zq{c}x" for c in "ghijklmn"] + [f"yq{c}x" for c in "opqrstuv"]
+    for n_other in (0, 40_000):
+        words = few + [f"{i:x}{i * 7919 % 65521:x}" for i in range(n_other)]
+        found = suffix_tree.contexts(spark.createDataFrame([(w,) for w in words], "word string"))
+        context = (1 << 16) + int.from_bytes(b"zq")
+        assert found.where(F.col("key") == context).first()["total"] == 8
+
+
 @pytest.mark.parametrize("shingle", [4, 5])
 def test_minhash_groups(spark, texts, shingle):
     want = brute.near_duplicate_rows(texts.items(), shingle)
