@@ -20,7 +20,9 @@ of all rounds.
 
 Defined results: null or wordless text has an empty set, is linked with
 nothing and kept. A row without id takes part in nothing: its component is
-null and it is kept. Rows that share an id are each judged by their own text.
+null and it is kept. Rows that share an id are each judged by their own text:
+a node is an id with the hash of its text's set, and a component is named by the
+id of its smallest node, the only one that is kept of it.
 Extra columns are ignored by ``near_duplicates`` and passed on by ``dedupe``.
 """
 
@@ -42,6 +44,8 @@ _PROBES = 4096
 ONE_CENTRE = 4
 #: 64-bit words of a set's bitmap (1,024 bits, named by ten bits of a shingle's hash).
 BIT_WORDS = 16
+#: Factors of the two hashes that name a set.
+_KEYS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)
 #: Links that one task handles when components are made.
 LINKS_PER_TASK = 200_000
 
@@ -107,21 +111,26 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return mix(mixed + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
+def _set_key(value: np.ndarray, owner: np.ndarray, n: int, factor: int) -> np.ndarray:
+    """A hash of each set."""
+    key = np.zeros(n, np.uint64)
+    np.add.at(key, owner, mix(value * np.uint64(factor)))
+    return key
+
+
 def _sketch(shingle: int):
     def run(batches):
         for batch in batches:
             for lo, hi, data, offsets in blocks(batch.column("_text")):
                 value, size = shingle_sets(data, offsets, shingle)
                 owner = np.repeat(np.arange(hi - lo), size)
-                keys = [np.zeros(hi - lo, np.uint64) for _ in range(2)]
-                for key, m in zip(keys, (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)):
-                    np.add.at(key, owner, mix(value * np.uint64(m)))
+                keys = [_set_key(value, owner, hi - lo, m) for m in _KEYS]
                 bands = band_keys(signatures(value, size))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("_id").slice(lo, hi - lo), pa.array(size, pa.int64()),
-                    pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)),
+                    batch.column("_id").slice(lo, hi - lo), batch.column("_hash").slice(lo, hi - lo),
+                    pa.array(size, pa.int64()), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)),
                     ragged(bands[size > 0].reshape(-1).view(np.int64), np.where(size > 0, BANDS, 0), pa.int64()),
-                ], names=["_id", "n_shingles", "key1", "key2", "bands"])
+                ], names=["_id", "_hash", "n_shingles", "key1", "key2", "bands"])
     return run
 
 
@@ -134,10 +143,15 @@ def _sets(shingle: int):
                 bits = np.zeros((hi - lo, BIT_WORDS), dtype=np.uint64)
                 np.bitwise_or.at(bits, (owner, (place >> np.uint64(6)).astype(np.int64)),
                                  np.uint64(1) << (place & np.uint64(63)))
+                key = _set_key(value, owner, hi - lo, _KEYS[0]).view(np.int64)
+                lists = batch.column("_keys").slice(lo, hi - lo)  # of the id's nodes: one at least
+                many = lists.value_lengths().to_numpy().astype(np.int64)
+                same = lists.flatten().to_numpy() == np.repeat(key, many)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").slice(lo, hi - lo), ragged(value.view(np.int64), size, pa.int64()),
+                    [batch.column("_id").slice(lo, hi - lo), pa.array(key), ragged(value.view(np.int64), size, pa.int64()),
                      ragged(bits.reshape(-1).view(np.int64), np.full(hi - lo, BIT_WORDS), pa.int64())],
-                    names=["node", "shingles", "bits"])
+                    names=["_id", "key1", "shingles", "bits"]) \
+                    .filter(pa.array(np.logical_or.reduceat(same, np.cumsum(many) - many)))
     return run
 
 
@@ -179,15 +193,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = 80) -> DataFrame:
     """One row for each input row: id, n_shingles, component_id, kept. Rows are
     linked when 100 * |A & B| >= percent * |A | B| on their full shingle sets."""
+    return _judged(docs, id_col, text_col, shingle, percent).select(
+        F.col("_id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """near_duplicates with the hashes of the row's text (_hash) and set (key1)."""
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType
-    pairs = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+    pairs = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")) \
+        .withColumn("_hash", F.xxhash64("_text"))
     id_type = kind.simpleString()
-    sketch = land(pairs.mapInArrow(_sketch(shingle), f"_id {id_type}, n_shingles bigint, key1 bigint, key2 bigint, "
-                                   "bands array<bigint>"), "minhash-sketch")
+    sketch = land(pairs.mapInArrow(_sketch(shingle), f"_id {id_type}, _hash bigint, n_shingles bigint, key1 bigint, "
+                                   "key2 bigint, bands array<bigint>"), "minhash-sketch")
     full = sketch.where("n_shingles > 0 AND _id IS NOT NULL")
     classes = land(full.groupBy("key1", "key2").agg(F.min(F.struct("_id", "n_shingles", "bands")).alias("r"))
-                   .select("key1", "key2", F.col("r._id").alias("node"), F.col("r.n_shingles").alias("n"),
+                   .select("key1", "key2", F.struct("r._id", "key1").alias("node"), F.col("r.n_shingles").alias("n"),
                            F.col("r.bands").alias("bands")),
                    "minhash-classes")
     in_band = classes.select("node", "n", F.explode("bands").alias("bucket"))
@@ -196,9 +217,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     label = None
     if not member.isEmpty():
-        nodes = member.select("node").distinct()
-        wanted = pairs.join(nodes, F.col("_id") == F.col("node"), "left_semi")
-        sets = land(wanted.mapInArrow(_sets(shingle), f"node {id_type}, shingles array<bigint>, bits array<bigint>"), "minhash-sets")
+        nodes = member.select("node").distinct().groupBy(F.col("node._id").alias("_node_id")) \
+            .agg(F.collect_list("node.key1").alias("_keys"))
+        wanted = pairs.join(nodes, F.col("_id") == F.col("_node_id")).select("_id", "_text", "_keys")
+        sets = land(wanted.mapInArrow(_sets(shingle), f"_id {id_type}, key1 bigint, shingles array<bigint>, "
+                                      "bits array<bigint>")
+                    .select(F.struct("_id", "key1").alias("node"), "shingles", "bits"), "minhash-sets")
         label = _star_rounds(member, sets, percent)
     named = sketch.join(classes.select("key1", "key2", "node"), ["key1", "key2"], "left")
     if label is None:
@@ -206,10 +230,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     else:
         named = named.join(label, "node", "left")
         component = F.coalesce("component", "node")
-    component = F.when(F.col("_id").isNull(), F.lit(None).cast(kind)) \
-        .when(F.col("n_shingles") == 0, F.col("_id")).otherwise(component)
-    return named.select(F.col("_id").alias(id_col), "n_shingles", component.alias("component_id")) \
-        .withColumn("kept", F.col("component_id").isNull() | (F.col(id_col) == F.col("component_id")))
+    named = named.withColumn("_top", component)
+    alone = (F.col("n_shingles") == 0) | F.col("_id").isNull()
+    return named.select("_id", "_hash", "n_shingles", "key1",
+                        F.when(alone, F.col("_id")).otherwise(F.col("_top._id")).alias("component_id"),
+                        (alone | ((F.col("_top._id") == F.col("_id")) & (F.col("_top.key1") == F.col("key1"))))
+                        .alias("kept"))
 
 
 def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
@@ -263,10 +289,15 @@ def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
            percent: int = 80) -> DataFrame:
-    """The input without near duplicates: of each component the row of the
-    smallest id stays, and one row of a repeated id; rows without id stay."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    kept = near_duplicates(docs, id_col, text_col, shingle, percent).where(F.col("kept") & F.col(id_col).isNotNull()) \
-        .select(F.col(id_col).alias("_kept_id")).distinct()
-    named = rows.where("_id IS NOT NULL").join(kept, F.col("_id") == F.col("_kept_id"), "left_semi")
-    return named.dropDuplicates(["_id"]).unionByName(rows.where("_id IS NULL")).select("_row.*")
+    """The input without near duplicates: of each component one row of the smallest
+    id stays, with the text that represents it there; rows without id stay. Of rows
+    with the same id and text one stays, also where they are wordless."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text_or_empty(text_col)).alias("_hash"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    own = F.when(F.col("n_shingles") == 0, F.col("_hash"))  # wordless texts are alike in nothing
+    kept = _judged(docs, id_col, text_col, shingle, percent).where(F.col("kept") & F.col("_id").isNotNull()) \
+        .groupBy("_id", "key1", own.alias("_own")).agg(F.min("_hash").alias("_kept_hash")) \
+        .select(F.col("_id").alias("_kept_id"), "_kept_hash")
+    named = rows.where("_id IS NOT NULL").join(
+        kept, (F.col("_id") == F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash")), "left_semi")
+    return named.dropDuplicates(["_id", "_hash"]).unionByName(rows.where("_id IS NULL")).select("_row.*")

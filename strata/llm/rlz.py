@@ -19,8 +19,9 @@ document's length, however often a passage repeats.
 Defined results: "earlier" is a smaller id, or an earlier start in the same
 document, in the input (not in what is left). Null or short texts lose
 nothing. A row without id has no place in this order: it is neither changed
-nor a source. Rows that share an id count as the same document at the same
-place, so a repeated row loses only what an earlier place holds.
+nor a source. Rows that share an id and a text count as the same document at
+the same place, so a repeated row loses only what an earlier place holds; other
+texts of the id are documents of their own, in the order of their text's hash.
 """
 
 from __future__ import annotations
@@ -78,8 +79,10 @@ def _anchors(window: int):
                 new = np.ones(len(b.at), dtype=bool)
                 new[1:] = (b.place[1:] != b.place[:-1]) | (b.owner[1:] != b.owner[:-1])
                 ids = batch.column("_id").slice(lo, hi - lo)
+                hashes = batch.column("_hash").slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(b.owner[new])), pa.array(b.anchor[new].view(np.int64))], names=["_id", "anchor"])
+                    [ids.take(pa.array(b.owner[new])), hashes.take(pa.array(b.owner[new])),
+                     pa.array(b.anchor[new].view(np.int64))], names=["_id", "_hash", "anchor"])
     return run
 
 
@@ -108,10 +111,11 @@ def _phrases(window: int):
                 b = _Block(data, offsets, window)
                 at = _repeated(b, batch.column("unique").slice(lo, hi - lo))
                 ids = batch.column("_id").slice(lo, hi - lo)
+                hashes = batch.column("_hash").slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(b.owner[at])), pa.array((b.at[at] - b.first[b.owner[at]]).astype(np.int32)),
+                    [ids.take(pa.array(b.owner[at])), hashes.take(pa.array(b.owner[at])), pa.array((b.at[at] - b.first[b.owner[at]]).astype(np.int32)),
                      pa.array(b.anchor[at].view(np.int64)), pa.array(b.phrase[at].view(np.int64))],
-                    names=["_id", "start", "anchor", "phrase"])
+                    names=["_id", "_hash", "start", "anchor", "phrase"])
     return run
 
 
@@ -164,9 +168,10 @@ def _factors(window: int, with_text: bool, named: bool):
                     [pa.array(start.astype(np.int64)), pa.array(length.astype(np.int64))], ["start", "length"]))
                 text = pa.array([x.decode() for x in left], pa.string()) if with_text else pa.nulls(b.n, pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").slice(lo, hi - lo), pa.array(b.count.astype(np.int64)),
+                    [batch.column("_id").slice(lo, hi - lo), batch.column("_hash").slice(lo, hi - lo),
+                     pa.array(b.count.astype(np.int64)),
                      pa.array(removed.astype(np.int64)), spans, text, pa.array(digest, pa.string())],
-                    names=["_id", "n_words", "n_removed", "factors", "_left", "kept_sha256"])
+                    names=["_id", "_hash", "n_words", "n_removed", "factors", "_left", "kept_sha256"])
     return run
 
 
@@ -183,33 +188,43 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, n_words, n_removed, factors (start and length
     in words), ``text_left`` (the text without its factors; null unless
     ``with_text``) and the digest of the kept words joined by one space."""
+    return _parsed(docs, id_col, text_col, window, with_text).drop("_hash") \
+        .withColumnsRenamed({"_id": id_col, "_left": "text_left"})
+
+
+def _parsed(docs: DataFrame, id_col: str, text_col: str, window: int, with_text: bool) -> DataFrame:
     if window < ANCHOR:
         raise ValueError(f"window must have at least {ANCHOR} words")
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    pairs = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+    pairs = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")) \
+        .withColumn("_hash", F.xxhash64("_text"))
     named = pairs.where(F.col("_id").isNotNull())
-    unique = (named.mapInArrow(_anchors(window), f"_id {kind}, anchor bigint")
-              .groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_id")).where("n = 1")
-              .groupBy("_id").agg(F.collect_list("anchor").alias("unique")))
-    known = named.join(unique, "_id", "left")
-    first = (known.mapInArrow(_phrases(window), f"_id {kind}, start int, anchor bigint, phrase bigint")
-             .groupBy("anchor", "phrase").agg(F.min(F.struct("_id", "start")).alias("f"))
-             .select("f._id", "f.start").groupBy("_id").agg(F.collect_list(F.col("start").cast("long")).alias("first")))
-    schema = (f"_id {kind}, n_words bigint, n_removed bigint, factors array<struct<start:bigint,length:bigint>>, "
+    node = ["_id", "_hash"]
+    unique = (named.mapInArrow(_anchors(window), f"_id {kind}, _hash bigint, anchor bigint")
+              .groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_id"),
+                                     F.min("_hash").alias("_hash")).where("n = 1")
+              .groupBy(*node).agg(F.collect_list("anchor").alias("unique")))
+    known = named.join(unique, node, "left")
+    first = (known.mapInArrow(_phrases(window), f"_id {kind}, _hash bigint, start int, anchor bigint, phrase bigint")
+             .groupBy("anchor", "phrase").agg(F.min(F.struct("_id", "_hash", "start")).alias("f"))
+             .select("f.*").groupBy(*node).agg(F.collect_list(F.col("start").cast("long")).alias("first")))
+    schema = (f"_id {kind}, _hash bigint, n_words bigint, n_removed bigint, factors array<struct<start:bigint,length:bigint>>, "
               "_left string, kept_sha256 string")
-    parsed = known.join(first, "_id", "left").mapInArrow(_factors(window, with_text, True), schema)
+    parsed = known.join(first, node, "left").mapInArrow(_factors(window, with_text, True), schema)
     nameless = pairs.where(F.col("_id").isNull()).mapInArrow(_factors(window, with_text, False), schema)
-    return parsed.union(nameless).withColumnsRenamed({"_id": id_col, "_left": "text_left"})
+    return parsed.union(nameless)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
     """The input with its repeated spans cut out of the text (columns as they
     were, ``n_chars`` counted anew where there is one); a document of which
-    nothing is left goes. Rows sharing an id must hold the same text."""
-    left = parse_documents(docs, id_col, text_col, window).where("n_removed > 0") \
-        .groupBy(F.col(id_col).alias("_cut_id")).agg(F.max("text_left").alias("_left"),
-                                                     F.max(F.col("n_removed") < F.col("n_words")).alias("_some"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    out = rows.join(left, F.col("_id") == F.col("_cut_id"), "left").where(F.coalesce("_some", F.lit(True)))
+    nothing is left goes. Rows that share an id are each cut by their own text."""
+    left = _parsed(docs, id_col, text_col, window, True).where("n_removed > 0 AND _id IS NOT NULL") \
+        .groupBy(F.col("_id").alias("_cut_id"), F.col("_hash").alias("_cut_hash")) \
+        .agg(F.max("_left").alias("_left"), F.max(F.col("n_removed") < F.col("n_words")).alias("_some"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text_or_empty(text_col)).alias("_hash"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    out = rows.join(left, (F.col("_id") == F.col("_cut_id")) & (F.col("_hash") == F.col("_cut_hash")), "left") \
+        .where(F.coalesce("_some", F.lit(True)))
     return out.select(*replaced(docs, text_col, F.col("_left")))

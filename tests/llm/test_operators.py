@@ -150,6 +150,25 @@ def test_minhash_chain_and_crowd(spark):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
 
 
+def test_other_texts_of_an_id_stay(spark):
+    """Rows that share an id go, stay and are cut each by their own text."""
+    words = lambda k, n=60: " ".join(f"{k}{j}" for j in range(n))
+    near = words("a") + " more"
+    docs = spark.createDataFrame([(3, words("a")), (5, near), (5, words("b")), (5, words("b")), (7, words("c")),
+                                  (7, words("d")), (8, words("c")), (9, "")], "doc_id long, text string")
+    got = [(r["doc_id"], r["text"]) for r in minhash.dedupe(docs).collect()]
+    assert sorted(got) == sorted([(3, words("a")), (5, words("b")), (7, words("c")), (7, words("d")), (9, "")])
+    judged = {(r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).where("doc_id = 5").collect()}
+    assert judged == {(3, False), (5, True)}
+
+    passage = words("p", 30)
+    docs = spark.createDataFrame([(1, passage + " " + words("q")), (5, words("r") + " " + passage),
+                                  (5, words("s", 95)), (6, passage), (6, words("t"))], "doc_id long, text string")
+    got = [(r["doc_id"], r["text"].strip()) for r in rlz.remove_repeats(docs).collect()]
+    assert sorted(got) == sorted([(1, passage + " " + words("q")), (5, words("r")), (5, words("s", 95)),
+                                  (6, words("t"))])
+
+
 def test_bpe_equals_the_library_and_decodes():
     import public_tokenizers
     import tiktoken
