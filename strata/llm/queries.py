@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, minhash, packing, rlz, rules, secrets, sharding, suffix_tree, toxicity, voronoi
+from strata.llm import bpe, decontamination, minhash, packing, periodic, product_codes, rlz, rules, secrets, sharding
+from strata.llm import suffix_tree, toxicity, voronoi
 from strata.llm.common import documents
 from strata.session import sf_path
 
@@ -75,6 +76,21 @@ def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_hilbert_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = product_codes.compress(spark.read.parquet(sf_path(sf_dir, "embeddings")))
+    return product_codes.with_label_error(coded).withColumn("codebooks_sha256", F.lit(product_codes.book_digest(books)))
+
+
+def op12_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(sf_path(sf_dir, "benchmark"))
+    return decontamination.digest(decontamination.contaminated(documents(spark, sf_dir), benchmark, window=10))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return periodic.digest(periodic.find_runs(docs, text_col=periodic.tail_repeated(), times=4, least=6))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,5 +108,8 @@ QUERIES = {
     "op8_voronoi_knn": op8_voronoi_knn,
     "op9_decision_list": op9_decision_list,
     "op10_relative_lz": op10_relative_lz,
+    "op11_hilbert_codes": op11_hilbert_codes,
+    "op12_suffix_arrays": op12_suffix_arrays,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }

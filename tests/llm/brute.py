@@ -75,3 +75,72 @@ def quality_counts(text):
     covered = {i + d for i, g in enumerate(grams) if often[g] > 1 for d in range(3)}
     lines = [x for x in text.split("\n") if WORD.search(x)]
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def leak_rows(docs, items, window=10):
+    """{id: (words, words hit, item ids as texts)} of (id, text) pairs."""
+    split = lambda t: ITEM_WORD.findall((t or "").translate(LOWER))
+    holders = defaultdict(set)
+    for i, t in items:
+        w = split(t)
+        n = min(window, len(w))
+        for s in range(len(w) - n + 1 if n else 0):
+            holders[tuple(w[s:s + n])].add("" if i is None else str(i))
+    sizes, out = {len(g) for g in holders}, {}
+    for i, t in docs:
+        w, hit, names = split(t), set(), set()
+        for n in sizes:
+            for s in range(len(w) - n + 1):
+                if tuple(w[s:s + n]) in holders:
+                    hit |= set(range(s, s + n))
+                    names |= holders[tuple(w[s:s + n])]
+        out[i] = (len(w), len(hit), sorted(names))
+    return out
+
+
+def word_runs(w, times=4, least=6):
+    """(start, length, smallest period) of every maximal run, by start and period."""
+    out = []
+    for q in range(1, len(w) // times + 1):
+        i = q
+        while i < len(w):
+            j = i
+            while j < len(w) and w[j] == w[j - q]:
+                j += 1
+            start, n = i - q, j - i + q
+            if n >= max(least, times * q) and not any(
+                    all(w[k] == w[k - r] for k in range(start + r, start + n)) for r in range(1, q)):
+                out.append((start, n, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def product_codes(rows, scale=256, parts=16, entries=64, rounds=2):
+    """([(id, code, error)], codebooks) of (id, vector) pairs, in Python integers."""
+    import math
+
+    x = [(i, [math.floor(scale * c) for c in v]) for i, v in rows]
+    width = len(x[0][1]) // parts
+    cut = [[v[p * width:(p + 1) * width] for p in range(parts)] for _, v in x]
+    first = sorted(range(len(x)), key=lambda r: (x[r][0], x[r][1]))[:entries]
+    books = [[cut[r][p] for r in first] for p in range(parts)]
+
+    def nearest(p, v):
+        d = [sum((a - b) ** 2 for a, b in zip(v, e)) for e in books[p]]
+        return d.index(min(d)), min(d)
+
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = defaultdict(list)
+            for c in cut:
+                groups[nearest(p, c[p])[0]].append(c[p])
+            books[p] = [[sum(col) // len(groups[e]) for col in zip(*groups[e])] if groups[e] else old
+                        for e, old in enumerate(books[p])]
+    out = []
+    for (i, _), c in zip(x, cut):
+        best = [nearest(p, c[p]) for p in range(parts)]
+        out.append((i, "".join(f"{e:02x}" for e, _ in best), sum(d for _, d in best)))
+    return out, books
