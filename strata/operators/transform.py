@@ -30,6 +30,8 @@ from strata.operators.joins import dimension_join
 DEFAULT_CURRENCY = "CLP"
 # Where the JSON reader puts a record that it cannot parse.
 CORRUPT = "_corrupt_record"
+# The file a record was landed in, where the reader knows it.
+SOURCE_FILE = "_source_file"
 # Partial arrays that a header's lines are gathered in when they are nested.
 NEST_SALTS = 16
 
@@ -69,6 +71,22 @@ def bad_cursor(raw: DataFrame):
     return truthy(raw, "write_date") & parse_naive_utc(F.col("write_date").cast("string")).isNull()
 
 
+def unreadable(raw: DataFrame):
+    """Records that no cursor search can find: broken JSON, no id, or a cursor
+    text that is no timestamp."""
+    has_id = truthy(raw, "id") if "id" in raw.columns else F.lit(False)
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    return corrupt | ~has_id | bad_cursor(raw)
+
+
+def rejected_lines(raw_lines: DataFrame) -> DataFrame:
+    """Lines that cannot belong to any header, with the reason."""
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw_lines.columns else F.lit(False)
+    orphan = ~F.coalesce(line_parent_id(raw_lines) != 0, F.lit(False))
+    reason = F.when(corrupt, F.lit("corrupt_record")).when(orphan, F.lit("missing_parent"))
+    return raw_lines.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
+
+
 def valid_records(raw: DataFrame) -> DataFrame:
     ok, _ = validity(raw)
     return raw.filter(ok)

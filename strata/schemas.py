@@ -138,26 +138,21 @@ RUN_EVENT = _s(
     ("last_processed_cursor", T.StringType()),
 )
 
-# Folded run row (13 columns).
-CONTROL = _s(
+# One row per committed batch of a run; the rows of a group are its commit record.
+BATCH_LEDGER = _s(
     ("sync_id", T.StringType(), False),
     ("module_name", T.StringType()),
-    ("sync_type", T.StringType()),
-    ("started_at", T.TimestampNTZType()),
-    ("completed_at", T.TimestampNTZType()),
-    ("status", T.StringType()),
-    ("last_processed_ts", T.TimestampNTZType()),
+    ("group_no", T.IntegerType()),
+    ("batch_no", T.LongType()),
     ("records_processed", T.LongType()),
     ("records_inserted", T.LongType()),
     ("records_failed", T.LongType()),
-    ("error_message", T.StringType()),
-    ("execution_time_seconds", T.DoubleType()),
-    ("source_calls", T.LongType()),
+    ("batch_max_cursor", T.TimestampNTZType()),
+    ("watermark", T.TimestampNTZType()),
+    # whether batches were numbered in cursor order (a run may resume after them)
+    ("in_cursor_order", T.BooleanType()),
 )
 
-RUN_STATUSES = ("running", "success", "failed")
-SYNC_TYPES = ("incremental", "full")
-
 
 @dataclass(frozen=True)
 class LayerPaths:
@@ -179,6 +174,14 @@ class LayerPaths:
     def run_events(self) -> str:
         return f"{self.control}/sync_events"
 
+    @property
+    def batch_ledger(self) -> str:
+        return f"{self.control}/batch_ledger"
+
+    @property
+    def quarantine(self) -> str:
+        return f"{self.control}/quarantine"
+
     def silver_table(self, name: str) -> str:
         return f"{self.silver}/{name}"
 
