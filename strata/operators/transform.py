@@ -73,8 +73,8 @@ def bad_cursor(raw: DataFrame):
 
 def unreadable(raw: DataFrame):
     """Records that no cursor search can find: broken JSON, no id, or a cursor
-    text that is no timestamp."""
-    has_id = truthy(raw, "id") if "id" in raw.columns else F.lit(False)
+    text that is no timestamp.  (An id of 0 is found, and rejected in its batch.)"""
+    has_id = F.col("id").isNotNull() if "id" in raw.columns else F.lit(False)
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
     return corrupt | ~has_id | bad_cursor(raw)
 

@@ -19,16 +19,17 @@ from strata.functions.dates import parse_naive_utc, utc_to_local_date
 from strata.functions.tabular import normalize_tabular
 from strata.operators import extract as ex
 from strata.operators import transform as tr
-from strata.operators.batching import batch_ledger, batch_slices, running_watermark
+from strata.operators.batching import batch_slices, global_index
 from strata.operators.dedup import dedup_latest, full_order
 from strata.operators.quality import dq_not_null, dq_orphans, dq_unique
 from strata.plans import fixtures as fx
 from strata.plans import runlog as rl
 from strata.plans import silver as sv
-from strata.plans.sync_run import SyncJob
-from strata.schemas import BRONZE_LINE, BRONZE_MOVE, LayerPaths
+from strata.plans.sync_run import SyncJob, read_ledger
+from strata.schemas import BRONZE_LINE, BRONZE_MOVE, RAW_LINE, RAW_MOVE, LayerPaths
 from strata.session import scratch_path
 from strata.sinks import bronze as sink
+from strata.sinks import landed
 from strata.sources import bronze as bronze_src
 from strata.sources import control as control_src
 from strata.sources import landing
@@ -36,7 +37,6 @@ from strata.sources.search import read_by_ids, search, search_read
 
 # Fixed query parameters (shared with the oracle SQL).
 WATERMARK = dt.datetime(2000, 1, 1)          # incremental pulls start here
-EARLY_WATERMARK = dt.datetime(1990, 1, 1)    # before every cursor: all cursored rows
 BATCH_SIZE = 1000
 CAP = 500
 RANGE_FROM, RANGE_TO = "1997-03-15", "1998-06-30"
@@ -45,6 +45,7 @@ REREAD_SINCE = dt.datetime(2001, 1, 1)       # headers of lines changed since th
 SILVER_SNAPSHOT_AT = dt.datetime(2000, 1, 1)  # an earlier Silver build: Bronze ingested before this
 REPLAY_FROM = dt.datetime(2001, 1, 1)        # a crashed run re-appends versions from here
 REPLAY_LAG_MINUTES = 30
+SILVER_BUCKETS = 16
 RUN1_AT = dt.datetime(2001, 9, 1)            # the two sync runs of the append / run queries
 RUN2_AT = dt.datetime(2008, 6, 1)
 STAMP_AT = dt.datetime(2026, 1, 1)
@@ -195,13 +196,17 @@ def q_split_aggregate(spark, sf_dir):
 
 
 def q_incremental_filter(spark, sf_dir):
+    """With each id's place in the order of the pull (cursor, id)."""
     rl_ = fx.raw_lines(spark, sf_dir)
-    return ex.fetch_new_ids(fx.raw_headers(spark, sf_dir), WATERMARK, parents(rl_))
+    ids = ex.fetch_new_ids(fx.raw_headers(spark, sf_dir), WATERMARK, parents(rl_))
+    return global_index(ids, ["write_date asc", "id asc"], index_col="position")
 
 
 def q_cold_start_pull(spark, sf_dir):
+    """With each id's place in the order of the pull (id)."""
     rl_ = fx.raw_lines(spark, sf_dir)
-    return ex.fetch_new_ids(fx.raw_headers(spark, sf_dir), None, parents(rl_))
+    ids = ex.fetch_new_ids(fx.raw_headers(spark, sf_dir), None, parents(rl_))
+    return global_index(ids, ["id asc"], index_col="position")
 
 
 def q_headers_with_lines(spark, sf_dir):
@@ -253,10 +258,29 @@ def q_dq_orphan_lines(spark, sf_dir):
 
 # -- batching, aggregates, windows ------------------------------------------
 
+def _layers(spark: SparkSession) -> LayerPaths:
+    root = scratch_path(spark, "layers")
+    return LayerPaths(raw=f"{root}/raw", silver=f"{root}/silver", control=f"{root}/control")
+
+
+def _headers_only(headers: DataFrame, lines: DataFrame, layers: LayerPaths) -> tuple[int, int]:
+    """A repository that keeps headers: lines then only say which headers count."""
+    return sink.append(headers, layers.bronze_moves, BRONZE_MOVE, sink.MOVE_CLUSTER), 0
+
+
 def _slices(spark, sf_dir):
+    """Batches of a cold start: every header with lines, by id."""
     rl_ = fx.raw_lines(spark, sf_dir)
-    ids = ex.fetch_new_ids(fx.raw_headers(spark, sf_dir), EARLY_WATERMARK, parents(rl_))
-    return batch_slices(ids, ["write_date asc", "id asc"], BATCH_SIZE)
+    ids = ex.fetch_new_ids(fx.raw_headers(spark, sf_dir), None, parents(rl_))
+    return batch_slices(ids, ["id asc"], BATCH_SIZE)
+
+
+def _cold_start_ledger(spark, sf_dir) -> DataFrame:
+    """The ledger that a cold-start run of the job has written."""
+    layers = _layers(spark)
+    SyncJob(spark, "account", layers, source=lambda s: (fx.raw_headers(s, sf_dir), fx.raw_lines(s, sf_dir)),
+            tax=lambda s: tax_dim(s, sf_dir), batch_size=BATCH_SIZE, sink=_headers_only).run()
+    return read_ledger(spark, layers)
 
 
 def q_batch_slices(spark, sf_dir):
@@ -264,8 +288,8 @@ def q_batch_slices(spark, sf_dir):
 
 
 def q_batch_ledger(spark, sf_dir):
-    headers, _, _ = domain(spark, sf_dir)
-    return batch_ledger(_slices(spark, sf_dir), headers, cursor="write_date")
+    return _cold_start_ledger(spark, sf_dir).select(
+        "batch_no", "records_processed", "records_inserted", "batch_max_cursor", "records_failed")
 
 
 def q_batch_write_counts(spark, sf_dir):
@@ -310,9 +334,7 @@ def q_silver_lookback(spark, sf_dir):
 
 
 def q_running_watermark(spark, sf_dir):
-    headers, _, _ = domain(spark, sf_dir)
-    ledger = batch_ledger(_slices(spark, sf_dir), headers, cursor="write_date")
-    return running_watermark(ledger, previous=WATERMARK).select("batch_no", "batch_max_cursor", "watermark")
+    return _cold_start_ledger(spark, sf_dir).select("batch_no", "batch_max_cursor", "watermark")
 
 
 def q_capped_extract(spark, sf_dir):
@@ -387,8 +409,7 @@ def q_bronze_roundtrip(spark, sf_dir):
 def q_incremental_run(spark, sf_dir):
     """Two real runs of the sync job (cold start on snapshot 1, incremental
     on snapshot 2) into fresh layers; returns Bronze headers read back."""
-    root = scratch_path(spark, "layers")
-    layers = LayerPaths(raw=f"{root}/raw", silver=f"{root}/silver", control=f"{root}/control")
+    layers = _layers(spark)
     clock = iter([RUN1_AT, RUN2_AT])
     ids = (f"run-{i}" for i in itertools.count(1))
     for version in (1, 2):
@@ -401,6 +422,46 @@ def q_incremental_run(spark, sf_dir):
     return moves.select("id", "state", "write_date", "synced_at", "sync_batch_id")
 
 
+def q_sync_multi_version(spark, sf_dir):
+    """Both snapshots landed in one typed landing table: an increment from
+    WATERMARK takes the newest version of each id that has one since then."""
+    layers = _layers(spark)
+    heads, lines = f"{layers.raw}/landed_moves", f"{layers.raw}/landed_lines"
+    for version in (1, 2):
+        landed.land(fx.raw_headers(spark, sf_dir, version), heads, grain=landed.MONTHLY)
+    landed.land(fx.raw_lines(spark, sf_dir), lines, grain=landed.MONTHLY)
+    job = SyncJob(spark, "account", layers, landed.LandedSource(heads, lines, RAW_MOVE, RAW_LINE, landed.MONTHLY),
+                  tax=lambda s: tax_dim(s, sf_dir), batch_size=BATCH_SIZE, sink=_headers_only)
+    earlier = job.runlog.start("account")
+    job.runlog.finish(earlier, "account", "success", WATERMARK)
+    job.run()
+    moves = bronze_src.scan_bronze(spark, layers.bronze_moves, BRONZE_MOVE, full=True)
+    return moves.select("id", "state", "date", "amount_total", "write_date")
+
+
+def q_quarantined_records(spark, sf_dir):
+    """Defect records of a landed folder, after two runs that both met them."""
+    layers = _layers(spark)
+    folder = f"{layers.raw}/landing"
+    fx.landed_text(spark, sf_dir).write.text(folder)
+    job = SyncJob(spark, "account", layers, source=lambda s: (landing.read_raw_headers(s, folder, nested=True), None),
+                  tax=lambda s: tax_dim(s, sf_dir), batch_size=BATCH_SIZE, sink=_headers_only)
+    job.run()
+    job.run()
+    return job.quarantine.read().select("kind", "reason", F.regexp_extract("record", "SO/[0-9]+", 0).alias("name"))
+
+
+def q_silver_materialize(spark, sf_dir):
+    """The bucketed Silver of lines: built from the earlier Bronze, then brought
+    up to date by refreshes of the buckets that later rows fall in."""
+    bronze = stored_bronze_lines(spark, sf_dir)
+    base = scratch_path(spark, "silver_lines")
+    for until in (SILVER_SNAPSHOT_AT, REPLAY_FROM, None):
+        part = bronze if until is None else bronze.filter(F.col("synced_at") < F.lit(until))
+        sv.refresh(spark, part, base, sv.LINES, BRONZE_LINE, buckets=SILVER_BUCKETS)
+    return present(sv.silver_table(spark, base, sv.LINES, BRONZE_LINE, SILVER_BUCKETS).read())
+
+
 def _event_text(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events")
     text = (F.when(F.col("event_type") == "error", F.col("props"))
@@ -434,10 +495,13 @@ def q_normalize_tabular(spark, sf_dir):
 
 
 def q_dq_unique(spark, sf_dir):
-    lines = sv.silver_lines(bronze_lines(spark, sf_dir))
-    moves = sv.silver_headers(two_runs_bronze_moves(spark, sf_dir))
-    return dq_unique(lines, "id", "stg_account_move_lines").unionByName(
-        dq_unique(moves, "id", "stg_account_moves"))
+    """Silver keys are unique; Bronze holds versions, so its keys are not."""
+    bronze_l = stored_bronze_lines(spark, sf_dir)
+    bronze_m = two_runs_bronze_moves(spark, sf_dir).checkpoint(eager=True)
+    return (dq_unique(sv.silver_lines(bronze_l), "id", "stg_account_move_lines")
+            .unionByName(dq_unique(sv.silver_headers(bronze_m), "id", "stg_account_moves"))
+            .unionByName(dq_unique(bronze_l, "id", "account_move_lines"))
+            .unionByName(dq_unique(bronze_m, "id", "account_moves")))
 
 
 def q_dq_not_null(spark, sf_dir):
@@ -494,6 +558,9 @@ QUERIES = {
     "replay_idempotent": q_replay_idempotent,
     "bronze_roundtrip": q_bronze_roundtrip,
     "incremental_run": q_incremental_run,
+    "sync_multi_version": q_sync_multi_version,
+    "quarantined_records": q_quarantined_records,
+    "silver_materialize": q_silver_materialize,
     "parse_naive_utc": q_parse_naive_utc,
     "utc_to_local_date": q_utc_to_local_date,
     "normalize_tabular": q_normalize_tabular,

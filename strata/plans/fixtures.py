@@ -12,8 +12,8 @@ Mapping (all derived per row, no sampling):
   line    <- lineitem: id=l_orderkey*10+l_linenumber, parent=l_orderkey,
              product=l_partkey, account=l_suppkey, cursor=l_shipdate.  Repeated
              (l_orderkey, l_linenumber) rows are successive versions.
-  tax     <- distinct l_tax of lineitem: id=round(l_tax*100); the registry
-             knows ids 1..7 only, so id 8 exercises the unknown-tax path.
+  tax     <- distinct l_tax of lineitem: id=round(l_tax*100), all of them; lines
+             of every UNKNOWN_TAX_EVERY-th order name an id that no registry has.
   Amounts use plain double arithmetic (no decimal rounding), so the values
   are bit-identical in any IEEE-754 engine.
   version 2 of a header: every draft order ('O') is posted later; its cursor
@@ -31,7 +31,8 @@ from strata.session import sf_path
 # Fixed fixture parameters (shared with the oracle SQL).
 CURSOR_ERA_START = "1995-02-01"        # headers dated before this carry no write_date
 SECOND_VERSION_SHIFT_DAYS = 2500       # draft orders are posted this many days later
-TAX_REGISTRY_MAX_ID = 7                # tax ids above this are unknown to the registry
+TAX_PERCENT_MAX = 100                  # a tax id is its rate in whole percent: at most this many rows
+UNKNOWN_TAX_EVERY = 50                 # lines of orders with such a key name the id TAX_PERCENT_MAX higher
 INGEST_LAG_HOURS = 1                   # a version is ingested one hour after it changed
 INITIAL_LOAD_AT = "2001-09-01 00:00:00"  # ingestion time of rows without a cursor
 
@@ -101,7 +102,8 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = ext * (1 - disc)
     total = net * (1 + tax)
     returned = F.col("l_returnflag") == "R"
-    tax_id = F.round(tax * 100).cast("long")
+    unknown = F.col("l_orderkey") % UNKNOWN_TAX_EVERY == 0
+    tax_id = (F.round(tax * 100) + F.when(unknown, TAX_PERCENT_MAX).otherwise(0)).cast("long")
     out = li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("id"),
         _pair(F.col("l_orderkey"), F.concat(F.lit("SO/"), F.col("l_orderkey").cast("string"))).alias("move_id"),
@@ -122,14 +124,39 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tax_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tax registry ``(id, amount)``: percent rates of the known tax ids.
+    """Tax registry ``(id, amount)``: the percent rates of all lines.
 
-    At most TAX_REGISTRY_MAX_ID rows by construction (integral ids in
-    1..TAX_REGISTRY_MAX_ID), so callers may broadcast it unchecked."""
+    At most TAX_PERCENT_MAX rows, as rates are whole percents from 1 to 100, so
+    callers may broadcast it unchecked."""
     li = table(spark, sf_dir, "lineitem").select("l_tax").filter(F.col("l_tax") > 0)
     ids = li.select(F.round(F.col("l_tax") * 100).cast("long").alias("id")).distinct()
-    return ids.filter(F.col("id") <= TAX_REGISTRY_MAX_ID).select(
-        "id", F.col("id").cast("double").alias("amount"))
+    return ids.filter(F.col("id") <= TAX_PERCENT_MAX).select("id", F.col("id").cast("double").alias("amount"))
+
+
+# Fixed fixture parameters of the landed text: the first rule that an order's key meets holds.
+DEFECTS = (("corrupt_record", 101, 0), ("missing_id", 103, 1), ("bad_date", 107, 2), ("bad_cursor", 109, 3),
+           ("missing_date", 113, 4))
+BAD_DATE, BAD_CURSOR, LANDED_CURSOR = "2024-13-45", "05/01/2024 10:00", "2000-01-02 03:04:05"
+
+
+def landed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON line per order as a source might land it, some of them defect."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    kind = F.lit("none")
+    for reason, every, rest in reversed(DEFECTS):
+        kind = F.when(F.col("o_orderkey") % every == rest, reason).otherwise(kind)
+    key = F.col("o_orderkey").cast("string")
+    o = o.withColumn("_kind", kind)
+    whole = F.to_json(F.struct(
+        F.concat(F.lit("SO/"), key).alias("name"),
+        F.when(F.col("_kind") != "missing_id", F.col("o_orderkey")).alias("id"),
+        F.when(F.col("_kind") == "bad_date", BAD_DATE)
+        .when(F.col("_kind") != "missing_date", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
+        F.when(F.col("_kind") == "bad_cursor", BAD_CURSOR).otherwise(LANDED_CURSOR).alias("write_date"),
+        F.col("o_totalprice").alias("amount_total"),
+        F.array(F.struct((F.col("o_orderkey") * 10).alias("id"), F.col("o_totalprice").alias("price_total"))).alias("_lines")))
+    broken = F.concat(F.lit('{"name": "SO/'), key, F.lit('", broken'))
+    return o.select(F.when(F.col("_kind") == "corrupt_record", broken).otherwise(whole).alias("value"))
 
 
 def ingest_stamp(df: DataFrame) -> DataFrame:

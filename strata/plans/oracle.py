@@ -56,7 +56,8 @@ SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS id,
   l_discount * 100 AS discount,
   CASE WHEN l_returnflag = 'R' THEN CAST(0.0 AS DOUBLE) ELSE l_extendedprice * (1 - l_discount) END AS price_subtotal,
   l_extendedprice * (1 - l_discount) * (1 + l_tax) AS price_total,
-  CASE WHEN l_tax > 0 THEN [CAST(round(l_tax * 100) AS BIGINT)] ELSE CAST([] AS BIGINT[]) END AS tax_ids,
+  CASE WHEN l_tax > 0 THEN [CAST(round(l_tax * 100) AS BIGINT)
+    + CASE WHEN l_orderkey % 50 = 0 THEN 100 ELSE 0 END] ELSE CAST([] AS BIGINT[]) END AS tax_ids,
   [CAST(l_suppkey AS VARCHAR), 'ACC-' || CAST(l_suppkey AS VARCHAR)] AS account_id,
   CASE WHEN l_returnflag = 'R' THEN CAST(0.0 AS DOUBLE)
        ELSE l_extendedprice * (1 - l_discount) * (1 + l_tax) END AS debit,
@@ -65,10 +66,10 @@ SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS id,
   strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS write_date
 FROM lineitem"""
 
-TAX = f"""
+TAX = """
 SELECT DISTINCT CAST(round(l_tax * 100) AS BIGINT) AS id,
        CAST(CAST(round(l_tax * 100) AS BIGINT) AS DOUBLE) AS amount
-FROM lineitem WHERE l_tax > 0 AND CAST(round(l_tax * 100) AS BIGINT) <= {fx.TAX_REGISTRY_MAX_ID}"""
+FROM lineitem WHERE l_tax > 0"""
 
 
 def parse_ts(expr: str) -> str:

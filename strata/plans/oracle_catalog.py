@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from strata.functions.dates import LOCAL_TZ
-from strata.functions.tabular import _NUMBER
 from strata.plans import catalog as c
 from strata.plans import fixtures as fx
 from strata.plans import oracle as o
@@ -116,8 +115,8 @@ bronze_moves AS (
 ),
 inc AS (SELECT * FROM ({SEL_IDS}) WHERE write_date >= {ts(c.WATERMARK)}),
 slices AS (
-  SELECT id, write_date, CAST((row_number() OVER (ORDER BY write_date, id) - 1) // {c.BATCH_SIZE} AS BIGINT) AS batch_no
-  FROM ({SEL_IDS}) WHERE write_date >= {ts(c.EARLY_WATERMARK)}
+  SELECT id, write_date, CAST((row_number() OVER (ORDER BY id) - 1) // {c.BATCH_SIZE} AS BIGINT) AS batch_no
+  FROM ({SEL_IDS})
 ),
 ledger AS (
   SELECT batch_no, count(*) AS records_processed, count(h.id) AS records_inserted,
@@ -156,9 +155,13 @@ EVENT_TEXT = """(SELECT event_id, CASE WHEN event_type = 'error' THEN props WHEN
   ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS text FROM events)"""
 
 
+# blanks, sign, digits with an optional fraction (or a fraction alone), optional exponent, blanks
+DECIMAL = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def norm_text(x: str) -> str:
     s = f"regexp_replace({x}, '^''', '')"
-    num = (f"CASE WHEN regexp_matches({s}, '{_NUMBER}') AND abs(TRY_CAST(trim({s}) AS DOUBLE)) < CAST('inf' AS DOUBLE) "
+    num = (f"CASE WHEN regexp_matches({s}, '{DECIMAL}') AND abs(TRY_CAST(trim({s}) AS DOUBLE)) < CAST('inf' AS DOUBLE) "
            f"THEN TRY_CAST(trim({s}) AS DOUBLE) END")
     canon = (f"CASE WHEN round({num}, 0) = {num} THEN CAST(TRY_CAST({num} AS DECIMAL(38,0)) AS VARCHAR) "
              f"ELSE CAST(round({num}, 2) AS VARCHAR) END")
@@ -219,8 +222,8 @@ SQL = {
                              f"FROM headers"),
     "split_aggregate": fx_sql("SELECT id, account_move_id, date, quantity, price_total, tax_rate, tax_amount, "
                               "write_date FROM lines"),
-    "incremental_filter": fx_sql("SELECT id, write_date FROM inc"),
-    "cold_start_pull": fx_sql(SEL_IDS),
+    "incremental_filter": fx_sql("SELECT id, write_date, row_number() OVER (ORDER BY write_date, id) - 1 AS position FROM inc"),
+    "cold_start_pull": fx_sql(f"SELECT id, write_date, row_number() OVER (ORDER BY id) - 1 AS position FROM ({SEL_IDS})"),
     "headers_with_lines": fx_sql("SELECT id, date, state FROM headers WHERE id IN (SELECT account_move_id FROM parents)"),
     "valid_records": fx_sql(f"SELECT id, date, write_date FROM raw_headers WHERE {o.HEADER_VALID}"),
     "rejected_records": fx_sql(
@@ -260,8 +263,8 @@ SQL = {
         f"({o.silver_lines_sql(f'(SELECT * FROM bronze_lines WHERE synced_at < {ts(c.SILVER_SNAPSHOT_AT)})')})) lb "
         f"WHERE b.synced_at >= lb.lookback_ts"),
     "running_watermark": fx_sql(
-        f"SELECT batch_no, batch_max_cursor, greatest({ts(c.WATERMARK)}, max(batch_max_cursor) OVER "
-        "(ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS watermark FROM ledger"),
+        "SELECT batch_no, batch_max_cursor, max(batch_max_cursor) OVER "
+        "(ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS watermark FROM ledger"),
     "capped_extract": fx_sql(
         "SELECT id, write_date FROM inc WHERE write_date <= (SELECT max(write_date) FROM ("
         f"SELECT write_date FROM inc WHERE write_date IS NOT NULL ORDER BY write_date, id LIMIT {c.CAP}))"),
@@ -281,13 +284,27 @@ SQL = {
     "bronze_roundtrip": fx_sql(f"SELECT {o.render(BRONZE_LINE_COLS)}, strftime(date, '%Y-%m') AS date_month "
                                f"FROM bronze_lines"),
     "incremental_run": fx_sql(APPEND),
+    # every version of either snapshot; the newest of an id counts if it is at or after the watermark
+    "sync_multi_version": fx_sql(
+        "SELECT id, state, date, amount_total, write_date FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY id ORDER BY write_date DESC NULLS LAST) AS nth FROM ("
+        f"{o.headers_sql('raw_headers')} UNION ALL {o.headers_sql('raw_headers2')})) "
+        f"WHERE nth = 1 AND write_date >= {ts(c.WATERMARK)} AND id IN (SELECT account_move_id FROM parents)"),
+    "quarantined_records": (
+        "SELECT 'header' AS kind, reason, 'SO/' || CAST(o_orderkey AS VARCHAR) AS name FROM (SELECT o_orderkey, "
+        "CASE WHEN o_orderkey % 101 = 0 THEN 'corrupt_record' WHEN o_orderkey % 103 = 1 THEN 'missing_id' "
+        "WHEN o_orderkey % 107 = 2 THEN 'bad_date' WHEN o_orderkey % 109 = 3 THEN 'bad_cursor' "
+        "WHEN o_orderkey % 113 = 4 THEN 'missing_date' END AS reason FROM orders) WHERE reason IS NOT NULL"),
+    "silver_materialize": fx_sql(silver_lines_from("bronze_lines")),
     "parse_naive_utc": f"SELECT event_id, text, {P('text')} AS parsed FROM {EVENT_TEXT}",
     "utc_to_local_date": f"SELECT event_id, text, {LOCAL} AS local_date FROM {EVENT_TEXT}",
     "normalize_tabular": (f"SELECT l_orderkey, l_linenumber, {norm_text('cantidad')} AS cantidad, "
                           f"{norm_text('precio_bruto')} AS precio_bruto, {norm_text('descuento')} AS descuento, "
                           f"{norm_text('impuesto')} AS impuesto, regexp_replace(nota, '^''', '') AS nota FROM {SHEET}"),
     "dq_unique": fx_sql(dq_unique_sql(SILVER_LINES_RAW, "stg_account_move_lines") + " UNION ALL "
-                        + dq_unique_sql(SILVER_MOVES_RAW, "stg_account_moves")),
+                        + dq_unique_sql(SILVER_MOVES_RAW, "stg_account_moves") + " UNION ALL "
+                        + dq_unique_sql("SELECT id FROM bronze_lines", "account_move_lines") + " UNION ALL "
+                        + dq_unique_sql("SELECT id FROM bronze_moves", "account_moves")),
     "dq_not_null": fx_sql(
         dq_null_sql(SILVER_LINES_RAW, "stg_account_move_lines", ["id", "account_move_id", "ingested_at", "source_modified_at"])
         + " UNION ALL "
