@@ -151,7 +151,10 @@ def q_scan_bronze_range(spark, sf_dir):
 
 
 def q_control_runs(spark, sf_dir):
-    return control_src.control_runs(sync_runs(spark, sf_dir), "account", "success").select(
+    """From a written control table; the module's folder alone is read."""
+    log = rl.RunLog(spark, scratch_path(spark, "sync_events"))
+    rl.write_events(fx.sync_history(spark, sf_dir), log.path)
+    return control_src.control_runs(log.runs("account"), "account", "success").select(
         "sync_id", "module_name", "status", "started_at", "last_processed_ts")
 
 
@@ -326,10 +329,13 @@ def earlier_silver(bronze: DataFrame) -> DataFrame:
 
 
 def q_silver_lookback(spark, sf_dir):
-    bronze = stored_bronze_lines(spark, sf_dir)
-    earlier = earlier_silver(bronze)
-    since = sv.lookback_value(earlier)
-    return sv.bronze_increment(bronze, earlier, since).select(
+    """The Bronze rows that a refresh of an earlier Silver has to read, out of a
+    stored table whose folders say when their rows came in."""
+    path = scratch_path(spark, "bronze_lines")
+    sink.append(bronze_lines(spark, sf_dir), path, BRONZE_LINE, sink.LINE_CLUSTER, "ingest_month")
+    bronze = bronze_src.scan_bronze(spark, path, BRONZE_LINE, full=True)
+    since = sv.lookback_value(sv.silver_lines(bronze.filter(F.col("synced_at") < F.lit(SILVER_SNAPSHOT_AT))))
+    return bronze_src.scan_bronze(spark, path, BRONZE_LINE, since=since).select(
         "id", "write_date", "synced_at", "sync_batch_id", F.lit(since).cast("timestamp_ntz").alias("lookback_ts"))
 
 

@@ -10,6 +10,8 @@ only the buckets that new rows fall in; ``materialize`` writes whole versions.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,9 +95,11 @@ def silver_table(spark, base: str, spec: EntitySpec, bronze_schema, buckets: int
     return BucketTable(spark, base, silver_schema(bronze_schema), spec.key, buckets or BUCKETS)
 
 
-def refresh(spark, bronze: DataFrame, base: str, spec: EntitySpec, bronze_schema, buckets: int | None = None,
+def refresh(spark, bronze: DataFrame | str, base: str, spec: EntitySpec, bronze_schema, buckets: int | None = None,
             full: bool = False):
     """Bring a bucketed Silver table up to its Bronze rows; returns its manifest.
+    ``bronze`` is the table's path (a look-back then opens only the folders that
+    came in since) or a frame of it.
 
     The manifest keeps the newest ingestion time taken in (``lookback``), so the
     look-back reads no Silver row.  The first refresh, or a ``full`` one, builds
@@ -112,6 +116,11 @@ def refresh(spark, bronze: DataFrame, base: str, spec: EntitySpec, bronze_schema
 
     old = None if full else table.current()
     since = old.marks["lookback"] if old else EPOCH
+    if isinstance(bronze, str):
+        from strata.sources.bronze import scan_bronze
+
+        at = dt.datetime.fromisoformat(since)
+        bronze = scan_bronze(spark, bronze, bronze_schema, full=True, since=at if old else None)
     rows = bronze.filter(F.col("date").isNotNull())
     if old:
         rows = bronze_increment(rows, None, since)

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from strata.operators import transform as tr
 from strata.plans.runlog import RunLog, utc_now
+from strata.plans.sync_run import INGEST
 from strata.schemas import BRONZE_LINE, BRONZE_MOVE, PARTITION_COL, RAW_MOVE_NESTED, LayerPaths
 from strata.sinks import bronze as sink
 from strata.sinks import files
@@ -63,7 +64,7 @@ def append_missing(df: DataFrame, path: str, schema: T.StructType, cluster, batc
     read, and of them the rows with its batch id."""
     spark = df.sparkSession
     if not files.exists(spark, path):
-        return sink.append(df, path, schema, cluster)
+        return sink.append(df, path, schema, cluster, INGEST)
     months = [r[0] for r in df.select(F.date_format("date", "yyyy-MM")).distinct().collect()]
     there = (spark.read.schema(with_partition_col(schema)).parquet(path)
              .filter(F.col(PARTITION_COL).isin(months) & (F.col("sync_batch_id") == batch_id)))
@@ -77,9 +78,10 @@ def append_missing(df: DataFrame, path: str, schema: T.StructType, cluster, batc
     for c in key:
         same = same & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
     short = F.col("_want") - F.coalesce("_n", F.lit(0))
+    found = there.count()
     missing = (left.join(have, same, "left").withColumn("_short", short).filter("_short > 0")
                .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_short")))))
-    return sink.append(missing, path, schema, cluster) + there.count()
+    return sink.append(missing, path, schema, cluster, INGEST) + found
 
 
 def make_batch_writer(spark: SparkSession, module: str, layers: LayerPaths, tax: Callable[[SparkSession], DataFrame],
@@ -106,7 +108,7 @@ def make_batch_writer(spark: SparkSession, module: str, layers: LayerPaths, tax:
             stats = landed.agg(F.count(F.lit(1)).alias("n"),
                                F.max(tr.parse_naive_utc(F.col("write_date"))).alias("m")).first()
             headers, lines, rejects = tr.transform(landed, tax(spark))
-            save = append_missing if again else lambda df, path, schema, cluster, _: sink.append(df, path, schema, cluster)
+            save = append_missing if again else lambda df, path, schema, cluster, _: sink.append(df, path, schema, cluster, INGEST)
             n_h = save(tr.stamp(headers, synced, batch_id), layers.bronze_moves, BRONZE_MOVE, sink.MOVE_CLUSTER, batch_id)
             save(tr.stamp(lines, synced, batch_id), layers.bronze_lines, BRONZE_LINE, sink.LINE_CLUSTER, batch_id)
             if fail_after_write and fail_after_write(epoch_id):
