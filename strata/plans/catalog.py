@@ -332,7 +332,7 @@ def q_silver_lookback(spark, sf_dir):
     """The Bronze rows that a refresh of an earlier Silver has to read, out of a
     stored table whose folders say when their rows came in."""
     path = scratch_path(spark, "bronze_lines")
-    sink.append(bronze_lines(spark, sf_dir), path, BRONZE_LINE, sink.LINE_CLUSTER, "ingest_month")
+    sink.append(bronze_lines(spark, sf_dir), path, BRONZE_LINE, sink.LINE_CLUSTER, "ingest_year")
     bronze = bronze_src.scan_bronze(spark, path, BRONZE_LINE, full=True)
     since = sv.lookback_value(sv.silver_lines(bronze.filter(F.col("synced_at") < F.lit(SILVER_SNAPSHOT_AT))))
     return bronze_src.scan_bronze(spark, path, BRONZE_LINE, since=since).select(

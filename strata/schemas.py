@@ -117,8 +117,9 @@ BRONZE_LINE = _s(
 SILVER_RENAMES = {"write_date": "source_modified_at", "synced_at": "ingested_at"}
 # Physical partition column of Bronze (month of `date`).
 PARTITION_COL = "date_month"
-# Second level of a Bronze table that look-backs read: when its rows came in (day or month of `synced_at`).
-INGEST_COLS = {"ingest_day": "yyyy-MM-dd", "ingest_month": "yyyy-MM"}
+# Second level of a Bronze table that look-backs read: when its rows came in (by `synced_at`).  Jobs use
+# days; a long history that is loaded at once takes a coarser one.  Spark's and Python's date patterns.
+INGEST_COLS = {"ingest_day": ("yyyy-MM-dd", "%Y-%m-%d"), "ingest_year": ("yyyy", "%Y")}
 
 # --- control plane ------------------------------------------------------------
 # One event per state change of a run (start / checkpoint / finish).  The
