@@ -56,8 +56,7 @@ def op7_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(sf_path(sf_dir, "labels")).select("doc_id", F.col("toxic").alias("grade")) \
         .where("grade IS NOT NULL")
-    graded = docs.select("doc_id", "text").join(labels, "doc_id")
-    scored = toxicity.score_documents(docs, toxicity.learn(graded, grades=3))
+    scored = toxicity.score_documents(docs, toxicity.learn(docs, grades=3, labels=labels))
     return scored.withColumn("toxic", F.col("grade") > 0)
 
 
@@ -66,9 +65,9 @@ def op8_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    learned = rules.learn_from(docs, spark.read.parquet(sf_path(sf_dir, "labels")))
-    return rules.judge(docs, learned).select("doc_id", *rules.COUNTS, "base_failed", "kept", "rule")
+    numbers = rules.measured(documents(spark, sf_dir))
+    learned = rules.learn_measured(numbers, spark.read.parquet(sf_path(sf_dir, "labels")))
+    return rules.judged(numbers, learned).select(F.col("_id").alias("doc_id"), *rules.COUNTS, "base_failed", "kept", "rule")
 
 
 def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:

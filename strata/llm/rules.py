@@ -7,7 +7,7 @@ no clean row is covered or the rule is as long as ``MOST_TESTS``. It is pruned
 on the other third: final tests go as long as precision there does not fall.
 An accepted rule's rows are covered and the next rule is learnt from the rest;
 learning ends when a rule's precision on the pruning rows is under
-``least_precision``. The list becomes one ordered Spark ``when`` expression.
+``least_precision`` or it covers fewer than ``least_rows`` junk rows. The list becomes one ordered Spark ``when`` expression.
 
 All steps are aggregates over all labelled rows: statistics are binned once by
 approximate quantiles, and a step brings back only counts by (statistic, bin),
@@ -16,7 +16,9 @@ at most ``BINS`` times the number of statistics, whatever the rows.
 Defined results: null text has no words. Rows labelled with null are not learnt
 from; with no labelled rows of both kinds the list is empty and only the base
 rules decide. Repeated labels count as often as they occur, repeated ids are
-judged row by row. Extra columns are ignored by ``statistics``.
+judged row by row. ``counts`` adds columns named as ``COUNTS`` and ``FEATURES`` to
+its input; ``measured``, ``keep`` and ``keep_learned`` hold input columns apart, so
+that none can clash.
 """
 
 from __future__ import annotations
@@ -26,11 +28,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import land, text_or_empty
+from strata.llm.common import discard, land, text_or_empty
 
 BINS = 32
 MOST_TESTS = 3
-MOST_RULES = 12
 WORD_GAP = r"[\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -134,7 +135,7 @@ def learn(labelled: DataFrame, good_col: str = "quality", features: tuple[str, .
     if not any(grid.values()):
         return rules
     left = rows
-    while len(rules) < MOST_RULES:
+    while True:  # every rule covers least_rows junk rows more
         rule = _grow(left.where("NOT _prune"), grid)
         if not rule:
             break
@@ -147,6 +148,7 @@ def learn(labelled: DataFrame, good_col: str = "quality", features: tuple[str, .
             break
         rules.append(rule)
         left = left.where(~_all(rule))
+    discard(rows)
     return rules
 
 
@@ -211,20 +213,49 @@ def verdict(rules: list[list[Test]]) -> Column:
     return out
 
 
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """Every text counted once, stored: ``_id``, the counts and shares, and with
+    ``whole`` the row itself as ``_row``. Texts are not shuffled."""
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if whole else []
+    return land(counts(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_raw"), *row), "_raw")
+                .drop("_raw"), "rules-measured")
+
+
+def learn_measured(numbers: DataFrame, labels: DataFrame, id_col: str = "doc_id", good_col: str = "quality",
+                   **options) -> list[list[Test]]:
+    """Rules from a labels table (id, 1 or 0) over measured documents; numbers
+    alone are joined to labels."""
+    named = labels.select(F.col(id_col).alias("_label_id"), F.col(good_col).alias("_good"))
+    return learn(numbers.select("_id", *FEATURES).join(named, F.col("_id") == F.col("_label_id")), "_good", **options)
+
+
 def learn_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                good_col: str = "quality", **options) -> list[list[Test]]:
     """Rules from a labels table (id, 1 or 0) over the documents it names."""
-    named = labels.select(F.col(id_col).alias("_label_id"), F.col(good_col).alias("_good"))
-    marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_raw")) \
-        .join(named, F.col("_id") == F.col("_label_id"))
-    return learn(counts(marked, "_raw"), "_good", **options)
+    numbers = measured(docs, id_col, text_col)
+    rules = learn_measured(numbers, labels, id_col, good_col, **options)
+    discard(numbers)
+    return rules
+
+
+def judged(numbers: DataFrame, rules: list[list[Test]]) -> DataFrame:
+    """Measured documents with base_failed, rule (which one rejects) and kept."""
+    return numbers.withColumn("base_failed", base_failed()).withColumn("rule", verdict(rules)) \
+        .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
 
 
 def judge(docs: DataFrame, rules: list[list[Test]], text_col: str = "text") -> DataFrame:
     """The input with the counts, base_failed, rule (which one rejects) and kept."""
-    out = counts(docs, text_col)
-    return out.withColumn("base_failed", base_failed()).withColumn("rule", verdict(rules)) \
-        .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()).drop(*FEATURES)
+    return judged(counts(docs, text_col), rules).drop(*FEATURES)
+
+
+def keep_learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 good_col: str = "quality", **options) -> DataFrame:
+    """The documents that the base rules and a list learnt from ``labels`` keep;
+    each text is counted once."""
+    numbers = measured(docs, id_col, text_col, whole=True)
+    rules = learn_measured(numbers, labels, id_col, good_col, **options)
+    return judged(numbers, rules).where("kept").select("_row").select("_row.*")
 
 
 def keep(docs: DataFrame, rules: list[list[Test]], text_col: str = "text") -> DataFrame:

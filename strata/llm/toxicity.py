@@ -9,7 +9,7 @@ x gives each word the same value, not diluted by the text's length: severe
 words add up, however long the text around them is. Training is proximal
 gradient descent with an L1 penalty, which leaves the weight of ordinary words
 at zero, over a bounded sample of labelled rows (``sample`` rows, the smallest
-hashes of the id), in one task; the model that scoring reads is at most
+hashes of the id; a row is its word places, no text moves), in one task; the model that scoring reads is at most
 ``2 ** BITS`` weights. Scoring covers every row and whole texts.
 
 Defined results: null text has no words and the severity of an empty text. Rows
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import blocks, lower_az, ship, text_or_empty, word_hashes, word_spans
+from strata.llm.common import blocks, lower_az, ragged, ship, text_or_empty, word_hashes, word_spans
 
 BITS = 20
 _OTHER = np.ones(256, dtype=bool)
@@ -109,16 +109,22 @@ def severe(place: np.ndarray, size: np.ndarray, grade: np.ndarray, options: dict
     return np.where((grade == 1) & (hits > np.median(hits[grade == 1])), 2, grade)
 
 
+def _featured(batches):
+    for batch in batches:
+        for lo, hi, data, offsets in blocks(batch.column("_text")):
+            place, size = features(data, offsets)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id").slice(lo, hi - lo), batch.column("_grade").slice(lo, hi - lo),
+                 ragged(place.astype(np.int32), size, pa.int32())], names=["_id", "_grade", "place"])
+
+
 def _learn(grades: int, options: dict):
     def run(table: pa.Table) -> pa.Table:
-        place, size, grade = [], [], []
-        text = table.column("_text").combine_chunks()
-        for _, _, data, offsets in blocks(text):
-            p, s = features(data, offsets)
-            place.append(p)
-            size.append(s)
+        table = table.sort_by("_id")  # the same order whatever task a row came from
+        lists = table.column("place").combine_chunks()
+        size = np.diff(lists.offsets.to_numpy())
+        place = lists.flatten().to_numpy().astype(np.int64)
         grade = table.column("_grade").to_numpy().astype(np.int64)
-        place, size = np.concatenate(place), np.concatenate(size)
         if grades == 3 and grade.max(initial=0) < 2:
             grade = severe(place, size, grade, options)
         used, w, cut = fit(place, size, grade, grades, **options)
@@ -127,15 +133,35 @@ def _learn(grades: int, options: dict):
     return run
 
 
-def learn(graded: DataFrame, grades: int, sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text",
-          grade_col: str = "grade", **options) -> tuple[np.ndarray, np.ndarray]:
-    """(weights by place, thresholds) from at most ``sample`` graded rows."""
-    ship(graded.sparkSession)
-    rows = (graded.where(F.col(grade_col).between(0, grades - 1))
-            .select(text_or_empty(text_col).alias("_text"), F.col(grade_col).cast("int").alias("_grade"),
-                    F.xxhash64(F.col(id_col)).alias("_h"), F.col(id_col).alias("_id"))
-            .orderBy("_h", "_id", "_text").limit(sample).select("_text", "_grade", F.lit(0).alias("_one")))
-    model = rows.groupBy("_one").applyInArrow(_learn(grades, options), "place bigint, value double").toArrow()
+def fitting_rows(docs: DataFrame, grades: int, sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text",
+                 grade_col: str = "grade", labels: DataFrame | None = None) -> DataFrame:
+    """``_id``, ``_grade`` and word places of at most ``sample`` graded documents.
+
+    The ids are drawn by hash from ids and grades alone; at most ``sample`` of
+    them are broadcast to the documents, whose texts become word places before
+    they move."""
+    known = (docs if labels is None else labels).where(F.col(grade_col).between(0, grades - 1)) \
+        .select(F.col(id_col).alias("_id"), F.col(grade_col).cast("int").alias("_grade")).where("_id IS NOT NULL")
+    if labels is not None:
+        known = known.join(docs.select(F.col(id_col).alias("_have")).distinct(), F.col("_id") == F.col("_have"), "left_semi")
+    picked = known.groupBy("_id").agg(F.max("_grade").alias("_grade")) \
+        .orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    kind = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(F.col(id_col).alias("_doc"), text_or_empty(text_col).alias("_text"))
+    return (texts.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).select("_id", "_grade", "_text")
+            .mapInArrow(_featured, f"_id {kind}, _grade int, place array<int>")
+            .groupBy("_id", "_grade").agg(F.min("place").alias("place")))
+
+
+def learn(docs: DataFrame, grades: int, sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text",
+          grade_col: str = "grade", labels: DataFrame | None = None, **options) -> tuple[np.ndarray, np.ndarray]:
+    """(weights by place, thresholds) from at most ``sample`` graded documents.
+    Grades stand in ``docs`` or in ``labels``; of several for an id the highest
+    counts, of several texts one. Rows without an id are not learnt from."""
+    ship(docs.sparkSession)
+    rows = fitting_rows(docs, grades, sample, id_col, text_col, grade_col, labels)
+    model = (rows.withColumn("_one", F.lit(0)).groupBy("_one")
+             .applyInArrow(_learn(grades, options), "place bigint, value double").toArrow())
     place, value = model.column("place").to_numpy(), model.column("value").to_numpy()
     weights = np.zeros(1 << BITS, dtype=np.float32)
     weights[place[place >= 0]] = value[place >= 0]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, periodic, product_codes
+from strata.llm import decontamination, periodic, product_codes, rules, toxicity
 from strata.llm.common import documents
 from tests.llm import brute
 
@@ -189,3 +189,44 @@ def test_runs_of_edge_rows(spark):
     assert {r["t"] for r in rewritten} == {None, "a b a b a b a b"}
     with pytest.raises(ValueError):
         periodic.runs_of(np.zeros(1, np.uint64), np.zeros(1, np.int64), times=2)
+
+
+# -- what learning moves -------------------------------------------------------------------
+
+
+def test_toxicity_fits_a_bounded_sample_of_word_places(spark):
+    rows = [(i, f"w{i % 7} w{i % 3} bad" if i % 4 == 0 else f"w{i % 7} w{i % 3}") for i in range(90)]
+    docs = frame(spark, rows + [(0, "again"), (None, "bad")])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(100)] + [(0, 0), (None, 1)], "doc_id long, grade int")
+    some = toxicity.fitting_rows(docs, 2, sample=40, labels=labels)
+    assert some.columns == ["_id", "_grade", "place"] and some.count() == 40
+    every = {r["_id"]: r for r in toxicity.fitting_rows(docs, 2, labels=labels).collect()}
+    assert set(every) == set(range(90)) and every[0]["_grade"] == 1  # the highest of two labels
+    weights, cut = toxicity.learn(docs, grades=2, labels=labels)
+    got = {r["doc_id"]: r["severity"] for r in toxicity.score_documents(docs.where("doc_id > 0"), (weights, cut)).collect()}
+    assert min(got[i] for i in got if i % 4 == 0) > max(got[i] for i in got if i % 4)
+
+
+def test_rules_learn_from_numbers_and_verdicts_follow(spark):
+    clean = "the cat sat on a mat and looked at all of the small birds by the old stone wall "
+    rows = [(i, clean * (4 + i % 9) + f"word{i} " * (i % 5)) for i in range(60)]
+    rows += [(100 + i, ("#$%& " * (2 + i % 4) + f"x{i} y ") * (14 + i % 11)) for i in range(60)]
+    rows = [(i, " ".join(f"{w}{k}" if k % 3 else w for k, w in enumerate(t.split()))) for i, t in rows]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows], "doc_id long, quality int")
+    numbers = rules.measured(docs)
+    assert "_raw" not in numbers.columns and numbers.count() == 120
+    learned = rules.learn_measured(numbers, labels)
+    assert learned
+    plain = {r["_id"]: r for r in numbers.collect()}
+
+    def first(r):
+        return next((k for k, rule in enumerate(learned, 1)
+                     if all(r[t.feature] <= t.cut if t.below else r[t.feature] > t.cut for t in rule)), None)
+
+    for r in rules.judged(numbers, learned).collect():
+        assert r["rule"] == first(plain[r["_id"]]) and r["kept"] == (not r["base_failed"] and r["rule"] is None)
+        assert (r["rule"] is None) == (r["_id"] < 100)
+    kept = rules.keep_learned(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, r in plain.items() if i < 100 and not r["base_failed"]}
