@@ -21,7 +21,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the learned decision list reject go."""
     labels = spark.read.parquet(sf_path(sf_dir, "labels"))
-    return rules.keep(docs, rules.learn_from(docs, labels))
+    return rules.keep_learned(docs, labels)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
