@@ -49,7 +49,6 @@ class WordIds(dict):
 
         super().__init__()
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.whole.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
         self.model = self.whole.model

@@ -30,7 +30,6 @@ def test_packing_holds_every_id_once(spark, texts):
 
     path = queries.tokenizer_file("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     pieces = packing.pack(documents(spark, SF), path).collect()
     by_doc, by_seq = {}, {}
     for p in pieces:
@@ -49,6 +48,20 @@ def test_packing_holds_every_id_once(spark, texts):
         assert [p["offset"] for p in seq] == [0, *np.cumsum([p["length"] for p in seq])[:-1].tolist()]
 
 
+def test_packing_takes_special_strings_as_the_tokenizer_does(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    special = [t.content for t in whole.get_added_tokens_decoder().values()]
+    texts = [f"a {s} b{s}c, {s}." for s in special] + ["".join(special), " ".join(special)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for p in packing.pack(docs, path).orderBy("doc_id", "start").collect():
+        got[p["doc_id"]] = got.get(p["doc_id"], []) + list(p["ids"])
+    assert special and got == {i: whole.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+
+
 def test_packing_balances_cost():
     lengths = np.array([1500, 1400, 900, 700, 600, 500, 300, 100, 100, 44])
     placed = packing.balance(lengths, 2048)
