@@ -247,6 +247,37 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert [s["kind"] for s in c[4]["found"]] == ["access"] and count() == 5  # a new rule meets two blobs
 
 
+def test_many_matches_in_one_text(spark):
+    n = 20_000
+    text = " ".join("é token=abcdefgh%06d" % i for i in range(n)) + " AKIA" + "Z" * 16 + "0" * 40
+    frame = spark.createDataFrame([(1, text), (2, None), (3, "token=abcdefgh")], "doc_id long, text string")
+    got = rows(secrets.scan(frame))
+    assert [(s["kind"], s["start"], s["end"]) for s in got[1]["found"]] == brute.base_spans(text)
+    clean = rows(secrets.redact(frame))
+    assert clean[1]["text"] == "é [SECRET] " * n + "[SECRET]"
+    assert clean[2]["text"] is None and clean[3]["text"] == "[SECRET]"
+
+
+def test_spans_that_overlap_are_masked_once(spark):
+    some = ["token=" + "a" * 40, "secret=AKIA" + "B" * 20 + " x token=" + "0" * 33 + "-zz end", "0" * 32]
+    frame = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    clean = rows(secrets.redact(frame))
+    assert [clean[i]["text"] for i in range(3)] == ["[SECRET]", "[SECRET] x [SECRET] end", "[SECRET]"]
+
+
+def test_registered_scan_meets_no_pair_twice(spark):
+    sf = "/root/testdata/sf0.01"
+    first = {r["doc_id"]: r for r in queries.op6_secret_ledger(spark, sf).collect()}
+    pairs = lambda: spark.read.parquet(f"{secrets.shared_ledger(spark)}/scanned") \
+        .groupBy("blob", "kind", "version").count()
+    before = pairs().agg({"count": "sum"}).first()[0]
+    again = {r["doc_id"]: r for r in queries.op6_secret_ledger(spark, sf).collect()}
+    assert again == first and pairs().agg({"count": "sum"}).first()[0] == before
+    assert pairs().where("count > 1").isEmpty()
+    blobs = documents(spark, sf).selectExpr("sha2(coalesce(text, ''), 256) AS blob").distinct()
+    assert pairs().join(blobs, "blob").count() == blobs.count() * len(secrets.RULES)
+
+
 def test_toxicity_on_held_out_rows(spark):
     """Fitted on half of the labelled rows, judged on the other half."""
     sf = "/root/testdata/sf0.1"
