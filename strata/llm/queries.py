@@ -43,7 +43,7 @@ def op5_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(documents(spark, sf_dir), ledger=secrets.shared_ledger(spark))
+    found = secrets.scan(documents(spark, sf_dir), ledger=secrets.run_ledger(spark))
     base = F.filter("found", lambda s: s["kind"].isin(*[r.kind for r in secrets.BASE]))
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
     return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import replaced, text_or_empty
-from strata.session import shared_root
+from strata.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -53,6 +53,9 @@ MORE = (
 )
 RULES = BASE + MORE
 
+#: Session setting that names a ledger to keep between runs.
+LEDGER_CONF = "spark.strata.secretLedger"
+
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
@@ -159,9 +162,10 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id",
         F.col("_id").alias(id_col), "blob", F.coalesce("found", F.array().cast(_SPAN)).alias("found"))
 
 
-def shared_ledger(spark) -> str:
-    """The ledger that runs with one checkpoint folder share."""
-    return f"{shared_root(spark)}/llm/secret-ledger"
+def run_ledger(spark) -> str:
+    """The ledger folder that the session keeps (``LEDGER_CONF``); a new one for this run
+    where none is named, so that every text is scanned whatever ran before."""
+    return spark.conf.get(LEDGER_CONF, None) or scratch_path(spark, "llm", "secret-ledger")
 
 
 def _seen(spark, ledger: str) -> DataFrame | None:
