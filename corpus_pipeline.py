@@ -35,8 +35,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked; texts that the ledger knows are not scanned again."""
-    return secrets.redact(docs, ledger=secrets.shared_ledger(spark))
+    """Secrets are masked; a ledger that the session keeps (``secrets.LEDGER_CONF``) spares known texts."""
+    return secrets.redact(docs, ledger=secrets.run_ledger(spark))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
