@@ -12,9 +12,10 @@ Two steps keep the index small. Every phrase has an anchor: the smallest hash
 of the ``ANCHOR``-word grams inside it, about one distinct anchor per seven
 words. Equal phrases have equal anchors, so a phrase whose anchor occurs once
 in the corpus has no copy; only the others are indexed, by anchor and phrase
-hash (two independent 64-bit hashes). Both aggregates combine on the map side
-and send back, per document, what is unique or first: bounded by the
-document's length, however often a passage repeats.
+hash (two independent 64-bit hashes). Anchors combine on the map side; phrases
+travel in runs of one anchor, of equal ones one per block of texts, so a passage
+that repeats everywhere is as many rows as there are blocks. Both steps send
+back, per document, what is unique or first: bounded by the document's length.
 
 Defined results: "earlier" is a smaller id, or an earlier start in the same
 document, in the input (not in what is left). Null or short texts lose
@@ -27,13 +28,17 @@ texts of the id are documents of their own, in the order of their text's hash.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from strata.llm.common import blocks, grams, replaced, ship, text_or_empty, whole_grams, word_hashes, word_spans
+from strata.llm.common import (blocks, grams, ragged, ship, text_or_empty, whole_grams, word_hashes,
+                               word_spans)
 
 ANCHOR = 8
 
@@ -104,18 +109,47 @@ def _repeated(b: _Block, unique: pa.ListArray) -> np.ndarray:
     return np.flatnonzero(~_members(b, unique, b.anchor.view(np.int64), b.owner))
 
 
+def _place(batch: pa.RecordBatch) -> np.ndarray:
+    """The place of each row in the order of (id, text hash); equal ones share a place."""
+    table = pa.table([batch.column("_id"), batch.column("_hash")], names=["_id", "_hash"])
+    order = pc.sort_indices(table, sort_keys=[("_id", "ascending"), ("_hash", "ascending")])
+    table = table.take(order)
+    new = np.zeros(len(order), dtype=np.int64)
+    if len(order) > 1:
+        same = pc.and_(*[pc.equal(table.column(c).slice(1), table.column(c).slice(0, len(order) - 1))
+                         for c in ("_id", "_hash")])
+        new[1:] = ~np.array(same.to_numpy(), dtype=bool)
+    out = np.zeros(len(order), dtype=np.int64)
+    out[order.to_numpy()] = np.cumsum(new)
+    return out
+
+
 def _phrases(window: int):
+    """Phrases with a repeated anchor, in runs that share it: a row has the run's first
+    word and its phrase hashes in order. Of equal phrases a block sends the first one."""
     def run(batches):
         for batch in batches:
+            place = _place(batch)
             for lo, hi, data, offsets in blocks(batch.column("_text")):
                 b = _Block(data, offsets, window)
                 at = _repeated(b, batch.column("unique").slice(lo, hi - lo))
-                ids = batch.column("_id").slice(lo, hi - lo)
-                hashes = batch.column("_hash").slice(lo, hi - lo)
+                order = at[np.lexsort((at, place[lo:hi][b.owner[at]], b.phrase[at]))]
+                again = np.zeros(len(order), dtype=bool)
+                again[1:] = (b.phrase[order[1:]] == b.phrase[order[:-1]]) & (b.anchor[order[1:]] == b.anchor[order[:-1]])
+                at = np.sort(order[~again])
+                new = np.ones(len(at), dtype=bool)
+                new[1:] = (b.place[at[1:]] != b.place[at[:-1]]) | (at[1:] != at[:-1] + 1) | \
+                    (b.owner[at[1:]] != b.owner[at[:-1]])
+                head = np.flatnonzero(new)
+                first = at[head]
+                owner = pa.array(b.owner[first])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(b.owner[at])), hashes.take(pa.array(b.owner[at])), pa.array((b.at[at] - b.first[b.owner[at]]).astype(np.int32)),
-                     pa.array(b.anchor[at].view(np.int64)), pa.array(b.phrase[at].view(np.int64))],
-                    names=["_id", "_hash", "start", "anchor", "phrase"])
+                    [batch.column("_id").slice(lo, hi - lo).take(owner),
+                     batch.column("_hash").slice(lo, hi - lo).take(owner),
+                     pa.array((b.at[first] - b.first[b.owner[first]]).astype(np.int32)),
+                     pa.array(b.anchor[first].view(np.int64)),
+                     ragged(b.phrase[at].view(np.int64), np.diff(np.append(head, len(at))), pa.int64())],
+                    names=["_id", "_hash", "start", "anchor", "phrases"])
     return run
 
 
@@ -139,6 +173,7 @@ def parse(b: _Block, unique: pa.ListArray, first: pa.ListArray, window: int) ->
 def _factors(window: int, with_text: bool, named: bool):
     def run(batches):
         for batch in batches:
+            rest = [batch.column("_rest")] if "_rest" in batch.schema.names else []
             for lo, hi, data, offsets in blocks(batch.column("_text")):
                 b = _Block(data, offsets, window)
                 if named:
@@ -166,12 +201,16 @@ def _factors(window: int, with_text: bool, named: bool):
                 np.cumsum(size, out=offs[1:])
                 spans = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.StructArray.from_arrays(
                     [pa.array(start.astype(np.int64)), pa.array(length.astype(np.int64))], ["start", "length"]))
-                text = pa.array([x.decode() for x in left], pa.string()) if with_text else pa.nulls(b.n, pa.string())
+                text = pa.nulls(b.n, pa.string())
+                if with_text:
+                    there = batch.column("_text").slice(lo, hi - lo).is_valid().to_pylist()
+                    text = pa.array([x.decode() if t else None for x, t in zip(left, there)], pa.string())
+                names = ["_id", "_hash", "n_words", "n_removed", "factors", "_left", "kept_sha256", "_rest"]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id").slice(lo, hi - lo), batch.column("_hash").slice(lo, hi - lo),
                      pa.array(b.count.astype(np.int64)),
-                     pa.array(removed.astype(np.int64)), spans, text, pa.array(digest, pa.string())],
-                    names=["_id", "_hash", "n_words", "n_removed", "factors", "_left", "kept_sha256"])
+                     pa.array(removed.astype(np.int64)), spans, text, pa.array(digest, pa.string()),
+                     *(c.slice(lo, hi - lo) for c in rest)], names=names[:7 + len(rest)])
     return run
 
 
@@ -192,25 +231,36 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumnsRenamed({"_id": id_col, "_left": "text_left"})
 
 
-def _parsed(docs: DataFrame, id_col: str, text_col: str, window: int, with_text: bool) -> DataFrame:
+def _parsed(docs: DataFrame, id_col: str, text_col: str, window: int, with_text: bool,
+            carried: Sequence[str] = ()) -> DataFrame:
+    """The parse of each row; ``carried`` columns ride along in a struct ``_rest``, so the
+    rows need not be joined to it again (what is left of a null text is null then)."""
     if window < ANCHOR:
         raise ValueError(f"window must have at least {ANCHOR} words")
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    pairs = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")) \
-        .withColumn("_hash", F.xxhash64("_text"))
+    rest = [F.struct(*[F.col(f"`{c}`") for c in carried]).alias("_rest")] if carried else []
+    text = F.col(f"`{text_col}`") if carried else text_or_empty(text_col)
+    pairs = docs.select(F.col(id_col).alias("_id"), text.alias("_text"),
+                        F.xxhash64(text_or_empty(text_col)).alias("_hash"), *rest)
     named = pairs.where(F.col("_id").isNotNull())
     node = ["_id", "_hash"]
-    unique = (named.mapInArrow(_anchors(window), f"_id {kind}, _hash bigint, anchor bigint")
+    unique = (named.select("_id", "_text", "_hash").mapInArrow(_anchors(window), f"_id {kind}, _hash bigint, anchor bigint")
               .groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_id"),
                                      F.min("_hash").alias("_hash")).where("n = 1")
               .groupBy(*node).agg(F.collect_list("anchor").alias("unique")))
     known = named.join(unique, node, "left")
-    first = (known.mapInArrow(_phrases(window), f"_id {kind}, _hash bigint, start int, anchor bigint, phrase bigint")
+    # a run's phrases go to the task of their anchor together, which is where equal phrases meet
+    first = (known.mapInArrow(_phrases(window), f"_id {kind}, _hash bigint, start int, anchor bigint, "
+                              "phrases array<bigint>").repartition("anchor")
+             .select("_id", "_hash", "start", "anchor", F.posexplode("phrases").alias("i", "phrase"))
+             .select("_id", "_hash", (F.col("start") + F.col("i")).alias("start"), "anchor", "phrase")
              .groupBy("anchor", "phrase").agg(F.min(F.struct("_id", "_hash", "start")).alias("f"))
              .select("f.*").groupBy(*node).agg(F.collect_list(F.col("start").cast("long")).alias("first")))
-    schema = (f"_id {kind}, _hash bigint, n_words bigint, n_removed bigint, factors array<struct<start:bigint,length:bigint>>, "
-              "_left string, kept_sha256 string")
+    schema = StructType.fromDDL(f"_id {kind}, _hash bigint, n_words bigint, n_removed bigint, factors "
+                                "array<struct<start:bigint,length:bigint>>, _left string, kept_sha256 string")
+    if carried:
+        schema = schema.add(StructField("_rest", StructType([docs.schema[c] for c in carried]), False))
     parsed = known.join(first, node, "left").mapInArrow(_factors(window, with_text, True), schema)
     nameless = pairs.where(F.col("_id").isNull()).mapInArrow(_factors(window, with_text, False), schema)
     return parsed.union(nameless)
@@ -220,11 +270,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The input with its repeated spans cut out of the text (columns as they
     were, ``n_chars`` counted anew where there is one); a document of which
     nothing is left goes. Rows that share an id are each cut by their own text."""
-    left = _parsed(docs, id_col, text_col, window, True).where("n_removed > 0 AND _id IS NOT NULL") \
-        .groupBy(F.col("_id").alias("_cut_id"), F.col("_hash").alias("_cut_hash")) \
-        .agg(F.max("_left").alias("_left"), F.max(F.col("n_removed") < F.col("n_words")).alias("_some"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text_or_empty(text_col)).alias("_hash"),
-                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    out = rows.join(left, (F.col("_id") == F.col("_cut_id")) & (F.col("_hash") == F.col("_cut_hash")), "left") \
-        .where(F.coalesce("_some", F.lit(True)))
-    return out.select(*replaced(docs, text_col, F.col("_left")))
+    others = [c for c in docs.columns if c != text_col]
+    parsed = _parsed(docs, id_col, text_col, window, True, others).where("n_removed = 0 OR n_removed < n_words")
+    out = []
+    for c in docs.columns:
+        col = F.col("_left") if c == text_col else F.col("_rest").getField(c)
+        if c == "n_chars":
+            col = F.when(F.col("n_removed") > 0, F.length("_left").cast(docs.schema[c].dataType)).otherwise(col)
+        out.append(col.alias(c))
+    return parsed.select(*out)

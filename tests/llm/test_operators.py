@@ -351,6 +351,29 @@ def test_repeats(spark, texts):
     assert all(brute.sha(" ".join(brute.WORD.findall(r["text_left"]))) == want[i][2] for i, r in got.items())
 
 
+def test_cut_rows_keep_their_other_columns(spark):
+    """Hot passages, null and empty texts, copies and rows without id, with columns of clashing names."""
+    passage = " ".join("p%d" % i for i in range(40))
+    some = [(i, f"a{i} {passage} b{i} é", "x", 7, [i]) for i in range(1, 60)] + [
+        (70, None, "n", 0, None), (71, "", "e", 0, []), (None, passage, "o", 9, [1]), (72, passage, "gone", 9, [2])]
+    frame = spark.createDataFrame(some, "doc_id long, text string, _rest string, n_chars int, `_id` array<int>")
+    got = rlz.remove_repeats(frame.repartition(5))
+    assert got.schema == frame.schema
+    want = {1: some[0]} | {i: (i, f"a{i} b{i} é", "x", len(f"a{i} b{i} é"), [i]) for i in range(2, 60)} | {
+        70: some[59], 71: some[60], None: some[61]}
+    assert {r["doc_id"]: tuple(r) for r in got.collect()} == want
+
+
+def test_parse_equals_brute_force_on_shuffled_blocks(spark):
+    """Runs of one anchor whose phrases are first in different documents, ids out of order, repeated rows."""
+    rng = np.random.default_rng(3)
+    pieces = [" ".join("w%d" % w for w in rng.integers(0, 60, 45)) for _ in range(12)]
+    docs = [(int(i), " ".join(pieces[j][int(c):] for j, c in zip(rng.integers(0, 12, 3), rng.integers(0, 80, 3))))
+            for i in rng.permutation(150)]
+    got = rows(rlz.parse_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)))
+    assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in got.items()} == brute.repeat_rows(docs)
+
+
 def test_repeats_inside_a_text_and_across_sources(spark):
     w = [f"w{i}" for i in range(80)]
     docs = [(1, " ".join(w[:30])), (2, " ".join(w[20:50])), (3, " ".join(w[5:45])), (4, "a " * 70),
