@@ -7,16 +7,17 @@ task). One hash permutation splits a class's shingles into bins; a bin's
 minimum is its signature entry, and empty bins borrow along random probe
 sequences (optimal densification). Bands of the signature name buckets.
 
-In a bucket only star edges are drawn: one centre, chosen by an aggregate, to
-every other member, so a bucket of n members gives n - 1 pairs. Each edge is
-confirmed on the full shingle sets. Rounds follow with other centres, over the
-buckets that still hold several components. A centre has met its whole bucket
-and leaves it; later rounds draw more centres at once, so a bucket is done when
-one component is left in it and no link between two members is missed. Pairs
-within a component, or of sizes too unequal to be linked, are never made, and
-pairs whose bitmaps differ too much for a link are not intersected.
-Components come from alternating large-star / small-star steps on the links
-of all rounds.
+In a bucket only star edges are drawn: from one centre, the member with the most
+company in all its buckets (a text that others are copies of has more than its
+copies), to every other member, so a bucket of n members gives n - 1 pairs. Each
+edge is confirmed on the full shingle sets. Components come from alternating
+large-star / small-star steps.
+
+Two members that are both unlike the centre can still be alike. Buckets left with
+several labels are therefore split by the shingles in which members differ from
+the hub of a label (``_between``): only pairs that share one of the few
+differences they must share are compared, so no link between members of a bucket
+is missed and the members of a group don't all meet those outside it.
 
 Defined results: null or wordless text has an empty set, is linked with
 nothing and kept. A row without id takes part in nothing: its component is
@@ -40,8 +41,6 @@ BINS = 128
 BANDS = 32
 ROWS = BINS // BANDS
 _PROBES = 4096
-#: Rounds in which a bucket has a single centre.
-ONE_CENTRE = 4
 #: 64-bit words of a set's bitmap (1,024 bits, named by ten bits of a shingle's hash).
 BIT_WORDS = 16
 #: Factors of the two hashes that name a set.
@@ -212,7 +211,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
                            F.col("r.bands").alias("bands")),
                    "minhash-classes")
     in_band = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    crowded = in_band.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("bucket")
+    crowded = in_band.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     member = land(in_band.join(crowded, "bucket").distinct(), "minhash-buckets")
 
     label = None
@@ -223,7 +222,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
         sets = land(wanted.mapInArrow(_sets(shingle), f"_id {id_type}, key1 bigint, shingles array<bigint>, "
                                       "bits array<bigint>")
                     .select(F.struct("_id", "key1").alias("node"), "shingles", "bits"), "minhash-sets")
-        label = _star_rounds(member, sets, percent)
+        label = _components(member, sets, percent)
     named = sketch.join(classes.select("key1", "key2", "node"), ["key1", "key2"], "left")
     if label is None:
         component = F.col("node")
@@ -238,53 +237,96 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
                         .alias("kept"))
 
 
-def _star_rounds(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(node, component) from links found by star edges in the buckets, with
-    other centres each round. Between rounds a label hooks onto the smallest one
-    it is linked with (a finer grouping than components, so nothing is skipped);
-    components are made once, from the links of all rounds."""
-    here = member.withColumn("c", F.col("node"))
-    links = None
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) pairs that are links on the full sets, with their other columns."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("bits").alias("xa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("bits").alias("xb"))
     # bits that differ stand for as many shingles that differ at least, so this test loses no link
     differ = sum((F.bit_count(F.col("xa")[i].bitwiseXOR(F.col("xb")[i])) for i in range(BIT_WORDS)), F.lit(0))
     likely = differ * (100 + percent) <= (100 - percent) * (F.size("sa") + F.size("sb"))
     common = F.when(likely, F.size(F.array_intersect("sa", "sb")).cast("long"))
-    tried = 0
-    while True:
-        # rounds of one centre, another in each bucket; then one for every slot of labels and of their members
-        slots = 8 ** max(0, min(tried - ONE_CENTRE + 1, 9))
-        slot = lambda c, n: F.pmod(F.xxhash64(c, F.lit(tried)), F.lit(n))
-        rank = F.struct("node", "c", "n") if tried == 0 else \
-            F.struct(F.xxhash64("node", F.lit(-tried), *([] if slots > 1 else ["bucket"])).alias("h"), "node", "c", "n")
-        centre = land(here.groupBy("bucket", slot("c", slots).alias("s"), slot("node", max(1, slots // 4)).alias("t"))
-                      .agg(F.min(rank).alias("r"))
-                      .select("bucket", F.col("r.node").alias("a"), F.col("r.c").alias("ca"), F.col("r.n").alias("na")),
-                      "minhash-centres")
-        star = (here.join(centre, "bucket")
-                .where((F.col("c") != F.col("ca")) & (100 * F.least("n", "na") >= percent * F.greatest("n", "na")))
-                .select("a", "ca", F.col("node").alias("b"), F.col("c").alias("cb")).distinct())
-        found = land(star.join(left, "a").join(right, "b").withColumn("common", common)
-                     .where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common")))
-                     .select(F.col("ca").alias("a"), F.col("cb").alias("b")), "minhash-found")
-        rest = here.join(centre.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti")
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            hook = land(found.groupBy(F.greatest("a", "b").alias("c")).agg(F.min(F.least("a", "b")).alias("to")),
-                        "minhash-hooks")
-            for _ in range(2):  # labels along four hooks
-                further = hook.select(F.col("c").alias("to"), F.col("to").alias("on"))
-                hook = hook.join(further, "to", "left").select("c", F.coalesce("on", "to").alias("to"))
-            rest = rest.join(hook, "c", "left").select("bucket", "node", "n", F.coalesce("to", "c").alias("c"))
-        mixed = rest.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")) \
-            .where("lo <> hi").select("bucket")
-        done, here = here, land(rest.join(mixed, "bucket").select("bucket", "node", "n", "c"), "minhash-round")
+    return (pairs.join(left, "a").join(right, "b").withColumn("common", common)
+            .where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common")))
+            .select(*pairs.columns))
+
+
+def _components(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """(node, component) of linked nodes: star edges to each bucket's most popular
+    member, then the pairs that a bucket's differences to a hub leave possible."""
+    popular = member.groupBy("node").agg((-F.sum("many")).alias("p"))
+    here = land(member.join(popular, "node").select("bucket", "node", "n", "p"), "minhash-members")
+    centre = land(here.groupBy("bucket").agg(F.min(F.struct("p", "node", "n")).alias("r"))
+                  .select("bucket", F.col("r.node").alias("a"), F.col("r.n").alias("na")), "minhash-centres")
+    star = here.join(centre, "bucket").where(
+        (F.col("node") != F.col("a")) & (100 * F.least("n", "na") >= percent * F.greatest("n", "na"))) \
+        .select("a", F.col("node").alias("b")).distinct()
+    found = land(_linked(star, sets, percent), "minhash-links")
+    label = None if found.isEmpty() else land(connected_components(found), "minhash-labels")
+    info = here.select("node", "p").distinct()
+    info = info.withColumn("c", F.col("node")) if label is None else \
+        info.join(label, "node", "left").select("node", "p", F.coalesce("component", "node").alias("c"))
+    hubs = info.groupBy("c").agg(F.min(F.struct("p", "node")).alias("hub"))
+    info = land(info.join(hubs, "c").select("node", "c", F.struct("hub.p", "hub.node", "c").alias("hub")), "minhash-hubs")
+    more = land(_between(here, centre, info, sets, percent), "minhash-between")
+    for done in (here, centre, info, found):
         discard(done)
-        discard(centre)
-        tried += 1
-        if here.isEmpty():
-            return None if links is None else connected_components(links)
+    if more.isEmpty():
+        return label
+    joined = connected_components(more)  # of labels
+    if label is None:
+        return joined
+    top = joined.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    named = label.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    # a label is its group's smallest node, which has no row of its own
+    return named.union(joined)
+
+
+def _between(here: DataFrame, centre: DataFrame, info: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links, as (a, b) of labels, between members of a bucket that its star has
+    left under several labels.
+
+    Such a bucket is seen from the hub (the most popular node) of one of its
+    labels. With D(x) the shingles in which x and the hub differ, x and y are
+    linked when |D(x) ^ D(y)| <= t (|x| + |y|), t = (100 - percent) / (100 + percent),
+    so when they share at least (|D(x)| + |D(y)| - t (|x| + |y|)) / 2 differences.
+    Nodes linked with the hub have one label; of another pair one node at least is
+    not linked with it, which bounds that number from below for each node on its
+    own. A link's two nodes therefore share one of the first differences of each,
+    in an order common to all (added shingles before missing ones), not further
+    back than the number allows. Only pairs that meet there are compared in full."""
+    more, less = 100 + percent, 100 - percent
+    rest = here.join(centre.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti") \
+        .join(info, "node")
+    mixed = rest.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("hub").alias("hub")) \
+        .where("lo <> hi").select("bucket", F.col("hub.node").alias("a"), F.col("hub.c").alias("ca"))
+    pairs = rest.join(mixed, "bucket").where(F.col("node") != F.col("a")) \
+        .select("a", "ca", F.col("node").alias("b"), F.col("c").alias("cb")).distinct()
+    seen = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a") \
+        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b") \
+        .withColumn("differ", F.concat(F.array_except("sb", "sa"), F.array_except("sa", "sb"))) \
+        .select("a", "ca", "b", "cb", "differ", F.size("differ").cast("long").alias("d"),
+                F.size("sb").cast("long").alias("n"), F.size("sa").cast("long").alias("na")) \
+        .withColumn("over", more * F.col("d") - less * (F.col("n") + F.col("na")))
+    shared = F.when(F.col("over") > 0, F.ceil(F.col("over") / 200)) \
+        .otherwise(F.ceil((more * F.col("d") + less * (F.col("na") - F.col("n"))) / (2 * more)))
+    first = F.col("d") - F.greatest(shared, F.lit(1)) + 1
+    seen = land(seen.select("a", "ca", "b", "cb", "d", "n", "over",
+                            F.slice("differ", F.lit(1), F.greatest(first, F.lit(0)).cast("int")).alias("differ")),
+                "minhash-differences")
+    place = land(seen.select("a", F.posexplode("differ").alias("at", "value"), "b", "cb", "d", "n",
+                             (F.col("over") > 0).alias("outside")), "minhash-places")
+    x = place.where("outside").select("a", "value", *[F.col(k).alias(f"{k}_x") for k in ("b", "cb", "d", "n", "at")])
+    y = place.select("a", "value", "outside", *[F.col(k).alias(f"{k}_y") for k in ("b", "cb", "d", "n", "at")])
+    need = more * (F.col("d_x") + F.col("d_y")) - less * (F.col("n_x") + F.col("n_y"))  # 2 * more times the number
+    back = lambda k: 2 * more * (F.col(f"d_{k}") - F.col(f"at_{k}")) >= need
+    possible = x.join(y, ["a", "value"]).where(
+        (F.col("cb_x") != F.col("cb_y")) & (~F.col("outside") | (F.col("b_x") < F.col("b_y")))
+        & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & back("x") & back("y"))
+    met = possible.select(F.col("b_x").alias("a"), F.col("b_y").alias("b"),
+                          F.col("cb_x").alias("ca"), F.col("cb_y").alias("cb")).distinct()
+    near_hub = seen.where((F.col("over") <= 0) & (F.col("ca") != F.col("cb"))).select("ca", "cb")
+    return _linked(met, sets, percent).select("ca", "cb").union(near_hub).distinct() \
+        .select(F.col("ca").alias("a"), F.col("cb").alias("b"))
 
 
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,

@@ -1,6 +1,7 @@
 """Each operator against a plain-Python version, on whole small tables."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -163,6 +164,26 @@ def test_minhash_chain_and_crowd(spark):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
 
 
+def test_minhash_links_beside_the_star(spark):
+    """Copies with many edits of their own around one text, and pairs that are alike
+    only with each other: every link counts, also where the star's centre has none."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    edit = lambda words, k, tag: [f"{tag}{i}" if i in hit else w for hit in [set(rng.sample(range(len(words)), k))]
+                                  for i, w in enumerate(words)]
+    docs = [(i, edit(base, rng.choice([1, 2, 3, 4, 6, 8, 10]), f"e{i}x")) for i in range(1, 120)]
+    for i in range(200, 240, 2):  # far from the rest, near to one another
+        far = edit(base, 9, f"f{i}x")
+        docs += [(i, far), (i + 1, edit(far, 2, f"g{i}x"))]
+    docs = [(i, " ".join(w)) for i, w in docs] + [(500, " ".join(base))]
+    for percent in (80, 90):
+        got = rows(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=4,
+                                           percent=percent))
+        want = brute.near_duplicate_rows(docs, 4, percent)
+        assert len({c for _, c in want.values()}) > 5
+        assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
+
+
 def test_other_texts_of_an_id_stay(spark):
     """Rows that share an id go, stay and are cut each by their own text."""
     words = lambda k, n=60: " ".join(f"{k}{j}" for j in range(n))
