@@ -26,3 +26,15 @@ def test_nested_lines_move_once(spark):
     assert plan(nested).count("Exchange hashpartitioning(_parent") == 1
     got = {r.id: [x.id for x in r._lines] for r in nested.collect()}
     assert got == {1: [11, 12], 2: [21, 21], 3: [], None: []}
+
+
+def test_a_cell_is_parsed_once(spark):
+    from strata.functions.tabular import normalize_tabular
+
+    rows = [("'12.0",), (" 7 ",), ("",), (None,), ("1e400",), ("-0.004",), ("-0.005",), ("2.50",), ("2.505",), ("NaN",),
+            ("1e20",), ("12345678901234.567",), ("''3",), ("-0.0",), (".5",), ("x",), ("1e39",), ("1234567890123456.125",)]
+    df = normalize_tabular(spark.createDataFrame(rows, "monto string"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+    got = [r[0] for r in df.collect()]
+    assert got == ["12", "7", "", None, "1e400", "-0.0", "-0.01", "2.5", "2.51", "NaN", "1" + "0" * 20, "12345678901234.57",
+                   "'3", "0", "0.5", "x", "1e39", "1234567890123456"]
