@@ -1,5 +1,9 @@
 """Work that grows with the tables: what moves, how often, and with the same rows."""
 
+import datetime as dt
+import os
+import re
+
 from pyspark.sql import functions as F
 
 from strata.operators import transform as tr
@@ -10,6 +14,10 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def orders_by(df, column: str) -> bool:
+    return re.search(rf"\b{column}#\d+ DESC", plan(df)) is not None
+
+
 def raw_lines(spark, rows):
     """(id, parent, name, cursor) rows as raw lines."""
     df = spark.createDataFrame(rows, "id long, p string, name string, write_date string")
@@ -38,3 +46,44 @@ def test_a_cell_is_parsed_once(spark):
     got = [r[0] for r in df.collect()]
     assert got == ["12", "7", "", None, "1e400", "-0.0", "-0.01", "2.5", "2.51", "NaN", "1" + "0" * 20, "12345678901234.57",
                    "'3", "0", "0.5", "x", "1e39", "1234567890123456"]
+
+
+def test_parents_are_those_of_the_newest_versions(spark):
+    from strata.plans.sync_run import parents_only
+
+    at = "2024-01-01 00:00:00"
+    lines = raw_lines(spark, [
+        (1, "7", "a", at), (1, "8", "z", at), (1, "9", "b", "2023-01-01 00:00:00"),      # one cursor: the higher parent
+        (2, "7", "a", None), (2, "5", "b", at), (3, None, "c", at), (3, "4", "d", "2025-01-01 00:00:00"),
+        (4, "6", "a", at), (4, "6", "b", at), (None, "3", "n", at), (None, "2", "n", at), (5, "x", "q", "no date"),
+        (6, None, "a", at), (6, "1", "b", at)])
+    whole, narrow = (tr.latest_landed(x) for x in (lines, parents_only(lines)))
+    assert orders_by(whole, "price_total") and not orders_by(narrow, "price_total")
+    rows = [sorted(x.select("id", tr.line_parent_id(x).alias("p")).collect(), key=str) for x in (whole, narrow)]
+    assert rows[0] == rows[1] and len(rows[0]) == 8
+
+
+def test_a_run_orders_its_headers_once(spark, tmp_path):
+    """Batches, lines and groups read the newest headers from one staged copy."""
+    from strata.plans.sync_run import FrameSource, SyncJob
+    from strata.schemas import TAX, LayerPaths
+
+    heads = spark.createDataFrame([], RAW_MOVE).unionByName(
+        spark.createDataFrame([(1, "2024-01-01", "2024-01-02 00:00:00"), (1, "2024-01-03", "2024-01-05 00:00:00"),
+                               (2, None, "2024-01-04 00:00:00"), (0, "2024-01-01", None), (None, "2024-01-01", None)],
+                              "id long, date string, write_date string"), allowMissingColumns=True)
+    lines = raw_lines(spark, [(11, "1", "a", None), (21, "2", "b", None), (1, "0", "c", None)])
+    job = SyncJob(spark, "account", LayerPaths(*(str(tmp_path / x) for x in ("raw", "silver", "control"))),
+                  source=lambda s: (heads, lines), tax=lambda s: s.createDataFrame([(1, 19.0)], TAX))
+    for since, ids in ((None, [0, 1, 2]), (dt.datetime(2024, 1, 3), [1, 2])):
+        path = str(tmp_path / f"scope-{len(ids)}")
+        scoped, whole, parents = job._scope(FrameSource(job.source), since, path)
+        assert "Window" not in plan(scoped)
+        assert orders_by(whole, "price_total") and not orders_by(parents, "price_total")
+        assert sorted(r.id for r in scoped.collect()) == ids
+        assert scoped.filter("id = 1").first().write_date == "2024-01-05 00:00:00"
+        assert {r[0] for r in parents.collect()} >= {1, 2}
+    out = job.run()
+    assert (out.processed, out.inserted, out.failed, out.lines) == (4, 1, 3, 1)
+    left = [d for d, _, _ in os.walk(spark.conf.get("spark.checkpoint.dir")) if d.endswith("-scope")]
+    assert all(not os.listdir(d) for d in left)
