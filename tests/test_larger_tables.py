@@ -29,11 +29,12 @@ def test_nested_lines_move_once(spark):
     heads = spark.createDataFrame([], RAW_MOVE).unionByName(
         spark.createDataFrame([(1,), (2,), (3,), (None,)], "id long"), allowMissingColumns=True)
     lines = raw_lines(spark, [(12, "1", "b", None), (11, "1", "a", None), (21, "2", "c", None), (21, "2", "d", None),
-                              (41, "0", "e", None), (51, None, "f", None), (61, "9", "g", None)])
+                              (41, "0", "e", None), (51, None, "f", None), (61, "9", "g", None),
+                              (None, "3", "h", None), (34, "3", "i", None), (None, "3", "j", None), (31, "3", "k", None)])
     nested = tr.nest_lines(heads, lines)
     assert plan(nested).count("Exchange hashpartitioning(_parent") == 1
     got = {r.id: [x.id for x in r._lines] for r in nested.collect()}
-    assert got == {1: [11, 12], 2: [21, 21], 3: [], None: []}
+    assert got == {1: [11, 12], 2: [21, 21], 3: [31, 34, None, None], None: []}
 
 
 def test_a_cell_is_parsed_once(spark):
@@ -87,3 +88,41 @@ def test_a_run_orders_its_headers_once(spark, tmp_path):
     assert (out.processed, out.inserted, out.failed, out.lines) == (4, 1, 3, 1)
     left = [d for d, _, _ in os.walk(spark.conf.get("spark.checkpoint.dir")) if d.endswith("-scope")]
     assert all(not os.listdir(d) for d in left)
+
+
+def test_tax_amount_is_put_on_after_the_join(spark):
+    heads = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "id long, date date")
+    rows = spark.createDataFrame([(11, "1", 100.0, 119.0), (12, "1", 0.0, 5.0), (13, "1", None, 7.0), (14, "1", 10.0, None),
+                                  (15, "2", 1.0, 2.0)], "id long, p string, price_subtotal double, price_total double")
+    raw = rows.select("id", F.array("p").alias("move_id"), "price_subtotal", "price_total")
+    raw = spark.createDataFrame([], RAW_LINE).unionByName(raw, allowMissingColumns=True)
+    lines = tr.normalize_lines(raw, heads, spark.createDataFrame([(1, 19.0)], "id long, amount double"), True)
+    text = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert " AS tax_amount#" in text and " AS tax_amount#" not in text[text.index("Join Inner"):]
+    assert {r.id: r.tax_amount for r in lines.collect()} == {11: 19.0, 12: 0.0, 13: 0.0, 14: -10.0}
+    assert lines.columns == tr.LINE_COLS
+
+
+def test_unique_keys_move_keys_only(spark, tmp_path):
+    from strata.plans.catalog import q_dq_unique
+
+    day, key = dt.datetime(1996, 1, 2), "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    tables = {
+        "nation": ([(1, "CHILE")], "n_nationkey int, n_name string"),
+        "customer": ([(1, "c", 1, 5.0, "HOUSEHOLD")],
+                     "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "orders": ([(k, 1, s, 10.0, day, "1-URGENT") for k, s in ((1, "O"), (2, "F"))],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+                   "o_orderpriority string"),
+        "lineitem": ([(o, 1, 1, n, q, 10.0, 0.1, 0.02, "N", "O", day) for o, n, q in
+                      ((1, 1, 1.0), (1, 1, 2.0), (1, 2, 1.0), (2, 1, 1.0), (2, 1, 1.0), (9, 1, 1.0))],
+                     key + "l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                     "l_linestatus string, l_shipdate timestamp_ntz"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    report = q_dq_unique(spark, str(tmp_path))
+    assert "price_total" not in report._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.table_name: (r.row_count, r.distinct_keys, r.duplicate_keys) for r in report.collect()}
+    assert got == {"stg_account_move_lines": (3, 3, 0), "stg_account_moves": (2, 2, 0),
+                   "account_move_lines": (5, 3, 2), "account_moves": (4, 2, 2)}  # the watermark is inclusive
