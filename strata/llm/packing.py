@@ -21,6 +21,8 @@ too). Extra columns are ignored.
 
 from __future__ import annotations
 
+import string
+import struct
 import unicodedata
 import zlib
 
@@ -36,7 +38,9 @@ CAPACITY = 2048
 #: Tokens gathered before a pool is packed.
 POOL = 1 << 20
 #: Words a worker remembers.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
+#: ASCII symbols and digits: none joins the letters before it.
+SYMBOLS = string.punctuation + string.digits
 #: Estimated cost of a token, and of a pair of tokens in one piece.
 LINEAR, QUADRATIC = 1.0, 1.0 / 6144
 
@@ -57,16 +61,23 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        core = text.rstrip(".,")
-        # a Latin-1 letter run is one unit for the model: no need for the whole chain
-        if core and core.isalpha() and ord(max(core)) < 256 and unicodedata.is_normalized("NFC", core):
-            spelled = core.lower().encode().decode("latin-1").translate(self.spell)
-            ids = [t.id for t in self.model.tokenize(spelled)]
+        core = text.rstrip(SYMBOLS)
+        # a Latin-1 letter run is one unit for the model: no need for the whole chain. What follows
+        # it starts anew, and as neither case nor symbols change it, a run is worked out once
+        if core.isalpha() and (core.isascii() or ord(max(core)) < 256 and unicodedata.is_normalized("NFC", core)):
+            low = core.lower()
             if len(core) < len(text):
-                ids += self.whole.encode(text[len(core):], add_special_tokens=False).ids
+                out = self[low.encode()] + self[text[len(core):].encode()]
+            elif low != core:
+                out = self[low.encode()]
+            else:
+                spelled = low if low.isascii() else low.encode().decode("latin-1").translate(self.spell)
+                ids = [t.id for t in self.model.tokenize(spelled)]
+                out = struct.pack(f"<{len(ids)}H", *ids)
         else:
             ids = self.whole.encode(text, add_special_tokens=False).ids
-        out = self[word] = np.array(ids, dtype="<u2").tobytes()
+            out = struct.pack(f"<{len(ids)}H", *ids)
+        self[word] = out
         return out
 
 
