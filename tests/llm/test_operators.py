@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import bpe, minhash, packing, queries, rlz, rules, secrets, suffix_tree, toxicity, voronoi
 from strata.llm.common import documents
+from strata.session import shared_root
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -146,6 +148,36 @@ def test_suffix_tree_keeps_by_count(spark):
         assert found.where(F.col("key") == context).first()["total"] == 8
 
 
+def test_suffix_tree_keeps_little_on_disk(spark):
+    """What is put down for pairs of words takes less room than the texts."""
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(100)) for _ in range(4000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    folder = Path(shared_root(spark).removeprefix("file:")) / "llm"
+    before = set(folder.glob("*/*/*.parquet"))
+    assert suffix_tree.score_documents(docs).count() == len(texts)
+    put = sum(p.stat().st_size for p in set(folder.glob("*/*/*.parquet")) - before)
+    assert 0 < put < 1.5 * sum(map(len, texts))
+
+
+def test_suffix_tree_whatever_the_buckets(spark, monkeypatch):
+    """Scores don't depend on how many buckets and blocks there are, also where a context's pairs
+    are dealt to several buckets."""
+    rng = random.Random(3)
+    texts = [" ".join(f"the {rng.choice('abcdefgh')}{rng.randrange(30)}" for _ in range(2000)) for _ in range(90)]
+    texts += [None, "", "the", " the new ", "a1 the a1 the a1"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one = rows(suffix_tree.score_documents(docs.coalesce(1)))
+    monkeypatch.setattr(suffix_tree, "_ENTRIES", 100)
+    assert suffix_tree._buckets(1000) == 11 and 150_000 > suffix_tree._SPREAD
+    many = rows(suffix_tree.score_documents(docs.repartition(3)))
+    assert len(one) == len(many) == len(texts)
+    for i, r in one.items():
+        assert many[i]["score"] == pytest.approx(r["score"], rel=1e-12)
+        assert many[i]["base_score"] == pytest.approx(r["base_score"], rel=1e-12)
+        assert (many[i]["n_tokens"], many[i]["n_known"]) == (r["n_tokens"], r["n_known"])
+
+
 @pytest.mark.parametrize("shingle", [4, 5])
 def test_minhash_groups(spark, texts, shingle):
     want = brute.near_duplicate_rows(texts.items(), shingle)
