@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sinks import files
+from strata.sinks.staged import CODEC, freed_shuffles
 
 BUCKET = "bucket"
 BUCKETS = 64
@@ -84,15 +85,25 @@ class BucketTable:
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     # -- writes ---------------------------------------------------------------
-    def _write(self, rows: DataFrame) -> tuple[str, list[int]]:
-        """A new build; returns its name and the buckets that got files."""
+    def _write(self, rows: DataFrame) -> dict[int, str]:
+        """A new build; returns its name for each of the buckets that got files."""
         build = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
         path = f"{self.base}/data/{build}"
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         # rebalance: a bucket's rows meet in a task, and AQE splits large buckets and joins small ones
-        (rows.select(*cols, bucket_of(self.key, self.buckets).alias(BUCKET)).hint("rebalance", BUCKET)
-         .sortWithinPartitions(BUCKET, *self.key).write.mode("errorifexists").partitionBy(BUCKET).parquet(path))
-        return build, [int(n.split("=")[1]) for n in files.names(self.spark, path) if n.startswith(f"{BUCKET}=")]
+        with freed_shuffles(self.spark):
+            (rows.select(*cols, bucket_of(self.key, self.buckets).alias(BUCKET)).hint("rebalance", BUCKET)
+             .sortWithinPartitions(BUCKET, *self.key).write.mode("errorifexists").option("compression", CODEC)
+             .partitionBy(BUCKET).parquet(path))
+        return {int(n.split("=")[1]): build for n in files.names(self.spark, path) if n.startswith(f"{BUCKET}=")}
+
+    def _only(self, rows: DataFrame, some: Sequence[int]) -> DataFrame:
+        return rows.filter(bucket_of(self.key, self.buckets).isin(list(some)))
+
+    @staticmethod
+    def _parted(numbers: Sequence[int], slices: int) -> list[list[int]]:
+        """Buckets in up to ``slices`` groups, each of which is a build of its own."""
+        return [part for i in range(max(1, slices)) if (part := sorted(numbers)[i::max(1, slices)])]
 
     def _publish(self, manifest: Manifest) -> Manifest:
         made = Manifest(manifest.number, manifest.buckets, manifest.key, manifest.builds, manifest.marks,
@@ -101,32 +112,38 @@ class BucketTable:
             raise RuntimeError(f"manifest {made.number} of {self.base} was published by another writer")
         return made
 
-    def replace(self, rows: DataFrame, marks: dict[str, str] | None = None) -> Manifest:
-        """A full build: every bucket comes from ``rows``."""
-        build, got = self._write(rows)
+    def replace(self, rows: DataFrame, marks: dict[str, str] | None = None, slices: int = 1) -> Manifest:
+        """A full build: every bucket comes from ``rows``, written in ``slices``
+        groups of buckets, which hold a group's shuffle files on disk at a time."""
+        builds: dict[int, str] = {}
+        groups = self._parted(range(self.buckets), slices)
+        for some in groups:
+            builds |= self._write(self._only(rows, some) if len(groups) > 1 else rows)
         number = max(self._numbers(), default=0) + 1
-        return self._publish(Manifest(number, self.buckets, self.key, dict.fromkeys(got, build), marks or {}))
+        return self._publish(Manifest(number, self.buckets, self.key, builds, marks or {}))
 
     def refresh(self, new: DataFrame, merge: Callable[[DataFrame], DataFrame],
-                marks: dict[str, str] | None = None) -> Manifest:
+                marks: dict[str, str] | None = None, slices: int = 1) -> Manifest:
         """Rewrite the buckets that ``new`` rows fall in, as ``merge(their present
-        rows and the new ones)``; the other buckets keep their files. ``new`` is
-        read twice, so hand in a stored or checkpointed frame."""
+        rows and the new ones)``, in ``slices`` groups; the other buckets keep
+        their files. ``new`` is read several times, so hand in a stored frame."""
         old = self.current()
         if old is None:
-            return self.replace(merge(new), marks)
+            return self.replace(merge(new), marks, slices)
         if (old.buckets, old.key) != (self.buckets, self.key):
             raise ValueError(f"{self.base} has {old.buckets} buckets of {old.key}: rebuild it to change that")
         # at most B numbers
         touched = [r[0] for r in new.select(bucket_of(self.key, self.buckets).alias("b")).distinct().collect()]
         builds = dict(old.builds)
-        if touched:
-            names = [f.name for f in self.schema.fields]
-            both = self.read(old, touched).select(*names).unionByName(new.select(*names))
-            build, got = self._write(merge(both))
-            for b in touched:
+        names = [f.name for f in self.schema.fields]
+        groups = self._parted(touched, slices)
+        for some in groups:
+            part = new.select(*names)
+            both = self.read(old, some).select(*names).unionByName(self._only(part, some) if len(groups) > 1 else part)
+            got = self._write(merge(both))
+            for b in some:
                 builds.pop(b, None)
-            builds |= dict.fromkeys(got, build)
+            builds |= got
         return self._publish(Manifest(old.number + 1, old.buckets, old.key, builds, old.marks | (marks or {})))
 
     # -- retention ------------------------------------------------------------
