@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from strata.functions.dates import parse_naive_utc
 from strata.operators import transform as tr
+from strata.sinks.staged import CODEC, freed_shuffles, sliced
 
 DAY = "cursor_day"
 CURSOR = "_cursor"
@@ -34,16 +35,22 @@ def with_cursor(raw: DataFrame, cursor: str = "write_date", grain: str = DAILY)
     return out.withColumn(DAY, day)
 
 
-def land(raw: DataFrame, path: str, cursor: str = "write_date", grain: str = DAILY) -> int:
-    """Append raw records to the typed landing table; returns their number."""
+def land(raw: DataFrame, path: str, cursor: str = "write_date", grain: str = DAILY, slices: int = 1) -> int:
+    """Append raw records to the typed landing table, in ``slices`` parts by id
+    (``sinks.staged``); returns their number."""
     if tr.CORRUPT not in raw.columns:
         raw = raw.withColumn(tr.CORRUPT, F.lit(None).cast("string"))
     if tr.SOURCE_FILE not in raw.columns:
         raw = raw.withColumn(tr.SOURCE_FILE, F.lit(None).cast("string"))
-    obs = Observation("landed")
-    (with_cursor(raw, cursor, grain).repartitionByRange(DAY, "id").sortWithinPartitions(DAY, CURSOR)
-     .observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(DAY).parquet(path))
-    return int(obs.get.get("rows", 0))
+    rows = 0
+    with freed_shuffles(raw.sparkSession):
+        for part in sliced(raw, "id", slices):
+            obs = Observation("landed")
+            (with_cursor(part, cursor, grain).repartitionByRange(DAY, "id").sortWithinPartitions(DAY, CURSOR)
+             .observe(obs, F.count(F.lit(1)).alias("rows"))
+             .write.mode("append").option("compression", CODEC).partitionBy(DAY).parquet(path))
+            rows += int(obs.get.get("rows", 0))
+    return rows
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
