@@ -120,3 +120,13 @@ def test_bronze_roundtrip_leaves_no_shuffle(spark, tables, three_slices):
     assert not shuffle_files(spark) - shuffles
     want = catalog.present(catalog.bronze_lines(spark, tables)).select(*[c for c in out.columns if c != "date_month"])
     assert rows_of(out.drop("date_month")) == rows_of(want)
+
+
+@pytest.mark.parametrize("name", ["silver_incremental"])
+def test_silver_leaves_compressed_columns_only(spark, tables, three_slices, name):
+    root = shared_root(spark)
+    checkpoints, shuffles = files_under(root, "/rdd-"), shuffle_files(spark)
+    out = catalog.QUERIES[name](spark, tables)
+    assert not files_under(root, "/rdd-") - checkpoints
+    assert not shuffle_files(spark) - shuffles
+    assert rows_of(out) == rows_of(catalog.q_silver_lines(spark, tables).select(*out.columns))
