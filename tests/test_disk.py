@@ -122,7 +122,7 @@ def test_bronze_roundtrip_leaves_no_shuffle(spark, tables, three_slices):
     assert rows_of(out.drop("date_month")) == rows_of(want)
 
 
-@pytest.mark.parametrize("name", ["silver_incremental"])
+@pytest.mark.parametrize("name", ["silver_incremental", "replay_idempotent"])
 def test_silver_leaves_compressed_columns_only(spark, tables, three_slices, name):
     root = shared_root(spark)
     checkpoints, shuffles = files_under(root, "/rdd-"), shuffle_files(spark)
